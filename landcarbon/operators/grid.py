@@ -109,10 +109,11 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*(F.col(c).alias(prefix + c) for c in df.columns))
 
 
-def _extents(cells: DataFrame, prefix: str) -> DataFrame:
-    width = F.col(prefix + "maxx") - F.col(prefix + "minx")
-    height = F.col(prefix + "maxy") - F.col(prefix + "miny")
-    return cells.select("_ix", "_iy", F.greatest(width, height).alias("extent"))
+def cell_extents(df: DataFrame, size: float) -> DataFrame:
+    """Cells that the features' envelopes cover and how wide the features are; geometry is not touched."""
+    cells = covered_cells(df.select(*ENVELOPE), size)
+    extent = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
+    return cells.select("_ix", "_iy", extent.alias("extent"))
 
 
 def spatial_pairs(
@@ -134,7 +135,7 @@ def spatial_pairs(
         "l_": covered_cells(_prefixed(left, "l_"), grid.size, "l_"),
         "r_": covered_cells(_prefixed(right, "r_"), grid.size, "r_"),
     }
-    hot = crowded_cells(_extents(sides["l_"], "l_"), _extents(sides["r_"], "r_"), grid)
+    hot = crowded_cells(cell_extents(left, grid.size), cell_extents(right, grid.size), grid)
     a, b = (_divide(cells, hot, grid.size, prefix) for prefix, cells in sides.items())
 
     met = a.join(b, [*_CELL]) if not on else _join_on(a, b, on)

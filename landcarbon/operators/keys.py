@@ -75,11 +75,15 @@ def prefer_sources(sources: list[DataFrame], key: str) -> DataFrame:
     for i, source in enumerate(sources[1:], start=1):
         earlier = reduce(DataFrame.union, [s.select(key) for s in sources[:i]])
         chosen.append(not_in(source, key, earlier))
-    return reduce(DataFrame.unionByName, chosen).distinct()
+    return union_distinct(chosen)
+
+
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
 def union_distinct(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames).distinct()
+    return union_all(frames).distinct()
 
 
 def enrich(df: DataFrame, attributes: DataFrame, key: str, columns: list[str]) -> DataFrame:

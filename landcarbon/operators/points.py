@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from landcarbon.functions import geo
 from landcarbon.functions.categories import CONDITIONS
-from landcarbon.operators.grid import Grid, crowded_cells, divided_tiles, tiles
+from landcarbon.operators.grid import Grid, cell_extents, crowded_cells, divided_tiles, tiles
 
 _PART = ["_ix", "_iy", "_k", "_sx", "_sy"]
 
@@ -50,10 +50,9 @@ def points_in_polygons(polygons: DataFrame, points: DataFrame, grid: Grid, key:
     placed = placed.groupBy("_p.x", "_p.y", "condition").agg(F.count(F.lit(1)).alias("n"))
     placed = placed.withColumns({f"_i{a}": F.floor(F.col(a) / F.lit(size)).cast("long") for a in "xy"})
     pieces = tiles(polygons.select(key, "geom"), size, margin)
-    extent = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
     hot = crowded_cells(
         placed.select("_ix", "_iy", F.lit(0.0).alias("extent")),
-        pieces.select("_ix", "_iy", extent.alias("extent")),
+        cell_extents(geo.with_envelope(polygons.select("geom")), size),
         grid,
     )
     pieces = divided_tiles(pieces, hot, grid, margin / 1024)
