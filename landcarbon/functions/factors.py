@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -54,11 +55,7 @@ TOTAL_FACTORS: list[tuple[str, str, str, str]] = [
 
 def total_factors(spark: SparkSession) -> DataFrame:
     """The totals as a table, for use without the factor file."""
-    rows = spark.createDataFrame(
-        TOTAL_FACTORS, "peat_condition string, drainage_status string, total_break1 string, total_break2 string"
-    )
-    return rows.select(
-        "peat_condition",
-        "drainage_status",
-        *(rows[c].cast("decimal(12,4)").alias(c) for c in ("total_break1", "total_break2")),
-    )
+    names = ("peat_condition", "drainage_status", "total_break1", "total_break2")
+    # From Arrow, so that Spark keeps the few rows in the plan and knows their size.
+    rows = spark.createDataFrame(pa.table({n: [row[i] for row in TOTAL_FACTORS] for i, n in enumerate(names)}))
+    return rows.select(*names[:2], *(rows[c].cast("decimal(12,4)").alias(c) for c in names[2:]))

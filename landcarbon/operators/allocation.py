@@ -17,8 +17,10 @@ from landcarbon.functions.categories import (
     REMAINDER_TO_MODIFIED,
 )
 
-# Wide enough for any area in square metres, and kept through every step: Spark would give up scale as sums nest.
+# Results at one fixed scale: left alone, Spark would give up decimal places as sums nest. Single terms are a little
+# narrower, so that the sum of a class still fits without a cast after each step.
 _EXACT = "decimal(28,8)"
+_TERM = "decimal(24,8)"
 
 
 def _typed(df: DataFrame, column: str):
@@ -27,20 +29,17 @@ def _typed(df: DataFrame, column: str):
     return (lambda value: value.cast(_EXACT)) if exact else (lambda value: value.cast("double"))
 
 
-def _total(columns: list[Column], kind: str | None = None) -> Column:
-    if kind is None:
-        return reduce(lambda a, b: a + b, columns)
-    return reduce(lambda a, b: (a + b).cast(kind), columns)
+def _total(columns: list[Column]) -> Column:
+    return reduce(lambda a, b: a + b, columns)
 
 
 def split_outside_map(df: DataFrame, difference: str = "difference") -> DataFrame:
     """Share of the unmapped area per group of survey-point conditions."""
     typed = _typed(df, difference)
-    hundredth = F.lit(Decimal("0.01"))
     splits = {}
     for name, members in OUTSIDE_GROUPS.items():
-        percent = _total([F.coalesce(F.col(m), F.lit(0)) for m in members])
-        splits[name] = typed(-F.col(difference) * (percent * hundredth))
+        percent = " + ".join(f"coalesce({m}, 0)" for m in members)
+        splits[name] = typed(F.expr(f"-{difference} * (({percent}) * 0.01)"))
     return df.withColumns(splits)
 
 
@@ -80,33 +79,31 @@ def allocate(df: DataFrame) -> DataFrame:
     return allocate_unspecified(unspecified(split_outside_map(df)))
 
 
-def class_columns(legacy_bog: bool = False, exact: bool = True) -> dict[str, Column]:
-    """Report-class expressions over an allocated wide report, with their total as the project area.
+def _weighted_sum(members: dict[str, Decimal], exact: bool) -> Column:
+    kind = _TERM if exact else "double"
+    terms = [f"cast(coalesce({_weighted(m, w)}, 0) as {kind})" for m, w in members.items()]
+    return F.expr(f"cast({' + '.join(terms)} as {_EXACT if exact else 'double'})")
 
-    ``legacy_bog`` is the annual report's older form of Drained Modified Bog: only the weighted eroded area, the
-    other members count just where that is NULL. The project area is the same in both forms.
-    """
-    kind = _EXACT if exact else "double"
 
-    def weighted(column: str, weight: Decimal) -> Column:
-        # A weight of one is left out, which keeps the scale of exact areas.
-        return F.col(column) if weight == 1 else F.col(column) * F.lit(weight)
-
-    def part(column: str, weight: Decimal) -> Column:
-        return F.coalesce(weighted(column, weight), F.lit(0)).cast(kind)
-
-    out = {c.column: _total([part(m, w) for m, w in c.members.items()], kind) for c in CLASSES}
-    out[PROJECT_AREA] = _total([part(m, w) for c in CLASSES for m, w in c.members.items()], kind)
-    if legacy_bog:
-        members = dict(next(c.members for c in CLASSES if c.column == "drained_modified_bog"))
-        eroded = members.pop("eroded")
-        rest = _total([part(m, w) for m, w in members.items()], kind)
-        out["drained_modified_bog"] = F.coalesce(weighted("eroded", eroded).cast(kind), rest)
-    return out
+def _weighted(column: str, weight: Decimal) -> str:
+    # A weight of one is left out, which keeps the scale of exact areas.
+    return column if weight == 1 else f"{column} * {weight}"
 
 
 def to_report_classes(df: DataFrame, keep: list[str], legacy_bog: bool = False) -> DataFrame:
-    """Report classes per row, in square metres."""
+    """Report classes per row of an allocated wide report in square metres, with their total as the project area.
+
+    ``legacy_bog`` is the annual report's older form of Drained Modified Bog: only the weighted eroded area, the
+    other members count just where that is NULL. The project area is the same in both forms.
+    """
     exact = isinstance(df.schema["unspecified"].dataType, T.DecimalType)
-    columns = class_columns(legacy_bog, exact)
-    return df.select(*keep, *(value.alias(name) for name, value in columns.items()))
+    sums = df.select(*keep, "eroded", *(_weighted_sum(c.members, exact).alias(c.column) for c in CLASSES))
+    total = _total([F.col(c.column) for c in CLASSES])
+    total = total.cast(_EXACT) if exact else total
+    columns = {c.column: F.col(c.column) for c in CLASSES}
+    if legacy_bog:
+        name = "drained_modified_bog"
+        weight = next(c.members["eroded"] for c in CLASSES if c.column == name)
+        # Where the eroded area is NULL it adds nothing to the full sum, which is then the sum of the others.
+        columns[name] = F.coalesce(F.expr(_weighted("eroded", weight)).cast(_EXACT if exact else "double"), F.col(name))
+    return sums.select(*keep, *(value.alias(name) for name, value in columns.items()), total.alias(PROJECT_AREA))

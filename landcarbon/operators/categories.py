@@ -19,7 +19,7 @@ def category_area(
     df: DataFrame, keys: list[str], category: str = "category", area: str = "area", as_double: bool = False
 ) -> DataFrame:
     """Area per feature and category, rounded to 2 decimal places."""
-    total = _rounded(F.sum(area))
+    total = F.expr(_rounded(f"sum({area})"))
     return df.groupBy(*keys, category).agg((total.cast("double") if as_double else total).alias("category_area"))
 
 
@@ -35,24 +35,21 @@ def pivot_categories(
     The sum per category and the pivot are one aggregation, so that the areas are shuffled once, by feature.
     A NULL or unknown label adds to no column, but its feature keeps a row.
     """
-    zero = F.lit(0).cast("double" if as_double else AREA)
+    kind = "double" if as_double else AREA
+    value = f"cast({area} as double)" if as_double else area
     columns = []
     for label, name in CATEGORIES.items():
-        total = _rounded(F.sum(F.when(F.col(category) == label, F.col(area))))
-        if as_double:
-            total = total.cast("double")
-        columns.append(F.coalesce(total, zero).alias(name))
+        total = _rounded(f"sum(case when {category} = '{label}' then {value} end)")
+        columns.append(F.expr(f"coalesce(cast({total} as {kind}), cast(0 as {kind}))").alias(name))
     return df.groupBy(*keys).agg(*columns)
 
 
-def _rounded(total: Column) -> Column:
+def _rounded(total: str) -> str:
     # Through a fixed scale first: a binary double just below a half must round as its decimal text does.
-    return F.round(total.cast("decimal(30,6)"), 2).cast(AREA)
+    return f"cast(round(cast({total} as decimal(30,6)), 2) as {AREA})"
 
 
 def with_difference(df: DataFrame, project_area: str = "project_area", name: str = "difference") -> DataFrame:
     """Mapped area minus project area, rounded to 2 decimal places; NULL counts as 0 everywhere."""
-    none = F.lit(0)
-    mapped = sum((F.coalesce(F.col(c), none) for c in CATEGORY_COLUMNS), start=F.lit(0))
-    gap = mapped - F.coalesce(F.col(project_area), none)
-    return df.withColumn(name, _rounded(gap))
+    mapped = " + ".join(f"coalesce({c}, 0)" for c in CATEGORY_COLUMNS)
+    return df.withColumn(name, F.expr(_rounded(f"{mapped} - coalesce({project_area}, 0)")))

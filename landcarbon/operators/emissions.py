@@ -23,18 +23,18 @@ def rollup_m2(df: DataFrame, key: str, legacy_bog: bool = False) -> DataFrame:
 
 def rollup_ha(df: DataFrame, key: str) -> DataFrame:
     """Square metres per row or key to whole hectares per key, halves away from zero."""
-    return df.groupBy(key).agg(*(_hectares(F.sum(c)).alias(c) for c in [*CLASS_COLUMNS, PROJECT_AREA]))
+    return df.groupBy(key).agg(*(_hectares(f"sum({c})").alias(c) for c in [*CLASS_COLUMNS, PROJECT_AREA]))
 
 
 def hectares_of(m2: DataFrame, key: str) -> DataFrame:
     """``rollup_ha`` for input that already has one row per key: no second aggregation."""
-    return m2.select(key, *(_hectares(F.col(c)).alias(c) for c in [*CLASS_COLUMNS, PROJECT_AREA]))
+    return m2.select(key, *(_hectares(c).alias(c) for c in [*CLASS_COLUMNS, PROJECT_AREA]))
 
 
-def _hectares(square_metres: Column) -> Column:
+def _hectares(square_metres: str) -> Column:
     # Round first, then divide: a quotient cut to its type's scale could be lifted onto a half.
-    nearest = F.round(square_metres.cast("decimal(30,6)"), -4)
-    return (nearest.cast("decimal(24,0)") / F.lit(10000)).cast("decimal(20,0)")
+    nearest = f"cast(round(cast({square_metres} as decimal(30,6)), -4) as decimal(24,0))"
+    return F.expr(f"cast({nearest} / 10000 as decimal(20,0))")
 
 
 def unpivot_classes(ha: DataFrame, key: str) -> DataFrame:

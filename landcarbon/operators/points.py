@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,27 +12,26 @@ from landcarbon.operators.grid import Grid, cell_extents, crowded_cells, divided
 _PART = ["_ix", "_iy", "_k", "_sx", "_sy"]
 
 
-def share(count: Column, total: Column, integer: bool) -> Column:
+def share(count: str, total: str, integer: bool) -> Column:
     """Percentage of a total: whole, cut off below; or exact."""
     if integer:
-        return F.call_function("div", count * F.lit(100), total).cast("int")
-    return (count.cast("decimal(18,0)") * F.lit(Decimal("100.0")) / total.cast("decimal(18,0)")).cast("decimal(20,12)")
+        return F.expr(f"cast({count} * 100 div {total} as int)")
+    return F.expr(f"cast(cast({count} as decimal(18,0)) * 100.0 / cast({total} as decimal(18,0)) as decimal(20,12))")
 
 
 def condition_shares(
-    df: DataFrame, keys: list[str], condition: str = "condition", weight: str | None = None, integer: bool = True
+    df: DataFrame, keys: list[str], condition: str = "condition", weight: str = "1", integer: bool = True
 ) -> DataFrame:
     """Share of the twelve conditions per key, among all rows, unknown conditions included.
 
     ``weight`` is the number of equal rows that a row stands for.
     """
-    one = F.lit(1) if weight is None else F.col(weight)
-    total = F.sum(one).alias("_total")
-    counts = [F.sum(F.when(F.col(condition) == c, one).otherwise(0)).alias(name) for c, name in CONDITIONS.items()]
-    counted = df.groupBy(*keys).agg(total, *counts)
-    return counted.select(
-        *keys, *(share(F.col(name), F.col("_total"), integer).alias(name) for name in CONDITIONS.values())
-    )
+    counts = [
+        F.expr(f"sum(case when {condition} = '{c}' then {weight} else 0 end)").alias(name)
+        for c, name in CONDITIONS.items()
+    ]
+    counted = df.groupBy(*keys).agg(F.expr(f"sum({weight})").alias("_total"), *counts)
+    return counted.select(*keys, *(share(name, "_total", integer).alias(name) for name in CONDITIONS.values()))
 
 
 def points_in_polygons(polygons: DataFrame, points: DataFrame, grid: Grid, key: str = "fid") -> DataFrame:
@@ -78,5 +75,5 @@ def point_condition_share(
     """Polygons with the twelve percentages of the points inside; all 0 where there is no point."""
     found = points_in_polygons(polygons, points, grid, key)
     shares = condition_shares(found, [key], weight="n", integer=integer)
-    none = {name: F.coalesce(F.col(name), F.lit(0)) for name in CONDITIONS.values()}
+    none = {name: F.expr(f"coalesce({name}, 0)") for name in CONDITIONS.values()}
     return polygons.join(shares, key, "left").withColumns(none)

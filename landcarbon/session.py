@@ -17,6 +17,10 @@ def local_session(cores: int | str = "*", app: str = "landcarbon", memory: str =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Plans here have hundreds of small expressions; recording a call site for each would take longer than they do.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # Methods beyond this size are never compiled by the JVM; Spark then splits them.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
 

@@ -6,6 +6,7 @@ in ``oracle.py``.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +25,9 @@ CONDITION_OF_EVENT = {
     "signup": "Drained: Hagg/gully",
 }
 
+# Columns of an order as a report feature.
+FEATURE = ["fid", "grant_id", "financial_year_end", "project_area", "user_id", "forestry"]
+
 # Invented factor mapping: the conditions before and after restoration per report class.
 MAPPING = {
     "woodland": ("Forest", "Near Natural Bog"),
@@ -41,34 +45,48 @@ MAPPING = {
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a part of a table that is stored in fewer pieces than there are cores.
+
+    The test tables are one row group each, which a scan cannot split. A table of many files stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, for a comparison that does not depend on decimal types."""
-    return df.select(
-        *(
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
-            for f in df.schema
-        )
-    )
+    """Decimals as doubles, for a comparison that does not depend on decimal types.
+
+    Doubles are rounded to the 6 decimal places that the exact results have at most.
+    """
+
+    def value(field: T.StructField) -> str:
+        if isinstance(field.dataType, T.DecimalType):
+            return f"cast({field.name} as double) as {field.name}"
+        if isinstance(field.dataType, T.DoubleType):
+            return f"round({field.name}, 6) as {field.name}"
+        return field.name
+
+    return df.selectExpr(*(value(f) for f in df.schema))
 
 
 def mapping(spark: SparkSession) -> DataFrame:
     rows = [(HECTARE_LABELS[c], pre, post) for c, (pre, post) in MAPPING.items()]
-    return spark.createDataFrame(rows, "category string, emission_factor_pre string, emission_factor_post string")
+    names = ("category", "emission_factor_pre", "emission_factor_post")
+    return spark.createDataFrame(pa.table({n: [row[i] for row in rows] for i, n in enumerate(names)}))
 
 
-def label_parts(index: Column) -> list[Column]:
+def label_parts(index: str) -> list[Column]:
     """Three label columns for a category number; past the last category the second part is NULL."""
     parts = [label.split(" - ") for label in CATEGORIES]
-    known = index < len(parts)
-    names = ("lc_level2", "lc_level3", "condition")
     out = []
-    for i, name in enumerate(names):
-        values = F.array(*(F.lit(p[i]) for p in parts))
-        other = F.lit(None).cast("string") if name == "lc_level3" else F.lit("Unknown")
-        out.append(F.when(known, F.get(values, index)).otherwise(other).alias(name))
+    for i, name in enumerate(("lc_level2", "lc_level3", "condition")):
+        values = ", ".join(f"'{p[i]}'" for p in parts)
+        other = "null" if name == "lc_level3" else "'Unknown'"
+        out.append(F.expr(f"case when {index} < {len(parts)} then get(array({values}), {index}) else {other} end").alias(name))
     return out
 
 
@@ -83,6 +101,8 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         F.year("o_orderdate").alias("financial_year_end"),
         F.col("o_totalprice").cast("decimal(20,2)").alias("project_area"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
+        F.expr("o_custkey div 10").alias("user_id"),
+        F.expr("case o_orderstatus when 'F' then true when 'O' then false end").alias("forestry"),
     )
 
 
@@ -96,12 +116,10 @@ def clipped_areas(spark: SparkSession, folder: str) -> DataFrame:
     )
     flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
     status = F.when(F.col("l_linestatus") == "F", 0).otherwise(1)
-    features = orders(spark, folder).select("fid", "grant_id", "financial_year_end", "project_area", "priority")
+    features = orders(spark, folder).select(*FEATURE, "priority")
     joined = items.join(features, "fid")
-    index = flag * 10 + status * 5 + F.col("priority") - 1
-    return joined.select(
-        "fid", "grant_id", "financial_year_end", "project_area", "area", *label_parts(index.cast("int"))
-    )
+    numbered = joined.withColumn("idx", (flag * 10 + status * 5 + F.col("priority") - 1).cast("int"))
+    return numbered.select(*FEATURE, "area", *label_parts("idx"))
 
 
 def labelled_areas(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,22 +132,19 @@ def shares_by_user(spark: SparkSession, folder: str, integer: bool = True) -> Da
     return condition_shares(events, ["user_id"], integer=integer)
 
 
-def draft_report(spark: SparkSession, folder: str) -> DataFrame:
+def draft_report(spark: SparkSession, folder: str, as_double: bool = False) -> DataFrame:
     """Wide report rows without shares: one per order with line items."""
-    keys = ["fid", "grant_id", "financial_year_end", "project_area"]
-    return with_difference(pivot_categories(labelled_areas(spark, folder), keys))
+    return with_difference(pivot_categories(labelled_areas(spark, folder), FEATURE, as_double=as_double))
 
 
-def wide_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Finished wide report rows, with survey-point shares and forestry flag."""
+def wide_report(spark: SparkSession, folder: str, as_double: bool = True) -> DataFrame:
+    """Finished wide report rows, with survey-point shares and forestry flag.
+
+    Areas are doubles as in final reports, or decimals as in applications.
+    """
     shares = shares_by_user(spark, folder)
-    extra = orders(spark, folder).select(
-        "fid",
-        F.expr("o_custkey div 10").alias("user_id"),
-        F.when(F.col("o_orderstatus") == "F", True).when(F.col("o_orderstatus") == "O", False).alias("forestry"),
-    )
-    joined = draft_report(spark, folder).join(extra, "fid").join(shares, "user_id", "left")
-    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in CONDITION_COLUMNS}).drop("user_id")
+    joined = draft_report(spark, folder, as_double).join(shares, "user_id", "left")
+    return joined.withColumns({c: F.expr(f"coalesce({c}, 0)") for c in CONDITION_COLUMNS}).drop("user_id")
 
 
 def boxed(df: DataFrame, minx: Column, miny: Column, width: Column) -> DataFrame:
@@ -165,8 +180,8 @@ def item_boxes(spark: SparkSession, folder: str) -> DataFrame:
 def tile_map(spark: SparkSession, folder: str) -> DataFrame:
     """A land-cover map of disjoint 10 m squares, one per part and supplier that occur together."""
     df = table(spark, folder, "lineitem").select("l_partkey", "l_suppkey").distinct()
-    index = ((F.col("l_partkey") + F.col("l_suppkey")) % 30).cast("int")
-    df = df.select("l_partkey", "l_suppkey", *label_parts(index))
+    df = df.withColumn("idx", ((F.col("l_partkey") + F.col("l_suppkey")) % 30).cast("int"))
+    df = df.select("l_partkey", "l_suppkey", *label_parts("idx"))
     return boxed(df, F.col("l_partkey") * 10, F.col("l_suppkey") * 10, F.lit(10)).drop("l_partkey", "l_suppkey")
 
 

@@ -242,6 +242,7 @@ ORACLE: dict[str, str] = {
     "unspecified_allocation": f"""WITH {ALLOC} SELECT fid, {doubles(
         ['unspecified', 'unspecified_to_forest', 'unspecified_to_modified', 'unspecified_to_eroding'])} FROM alloc""",
     "report_classes": f"WITH {M2} SELECT fid, {doubles(ALL_CLASSES)} FROM classes",
+    "report_classes_exact": f"WITH {M2} SELECT fid, {doubles(ALL_CLASSES)} FROM classes",
     "report_classes_legacy": f"""WITH {WIDE}, unmapped AS (
       SELECT * REPLACE ({", ".join(f"CASE WHEN {' + '.join(CATEGORY_COLUMNS)} <> 0 THEN {c} END AS {c}" for c in CATEGORY_COLUMNS)})
       FROM wide), {allocated('unmapped')}, classes AS (SELECT fid, {class_sums(legacy=True)} FROM alloc)

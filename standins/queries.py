@@ -92,6 +92,12 @@ def report_classes(spark, d):
     return allocation.to_report_classes(allocation.allocate(wide_report(spark, d)), ["fid"])
 
 
+@query
+def report_classes_exact(spark, d):
+    df = wide_report(spark, d, as_double=False)
+    return allocation.to_report_classes(allocation.allocate(df), ["fid"])
+
+
 @query
 def report_classes_legacy(spark, d):
     # As after an append of unmapped features: without any mapped area the columns are NULL.
