@@ -187,3 +187,15 @@ def feature_id(keys: list[str], geom: str = "geom") -> Column:
     """A stable row id from the key columns and the geometry."""
     texts = [F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys]
     return F.md5(F.concat_ws("\x1f", *texts, geometry_key(geom)))
+
+
+def with_shape(df: DataFrame) -> DataFrame:
+    """Add ``_shape``, a key that equal geometries share, so that copies are handled once."""
+    register(df.sparkSession)
+    return df.withColumn("_shape", geometry_key("geom"))
+
+
+def distinct_shapes(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """One row per shape (and further columns) of a table with ``_shape``, with envelope and number of rows."""
+    grouped = df.groupBy("_shape", *(extra or [])).agg(F.first("geom").alias("geom"), F.count(F.lit(1)).alias("copies"))
+    return with_envelope(grouped).filter(F.col("minx").isNotNull())

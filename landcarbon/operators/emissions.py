@@ -38,10 +38,12 @@ def _hectares(square_metres: str) -> Column:
 
 
 def unpivot_classes(ha: DataFrame, key: str) -> DataFrame:
-    """One row per key and class, with the class named as in the factor mapping; the project area is left out."""
-    labels = F.create_map(*(F.lit(x) for pair in HECTARE_LABELS.items() for x in pair))
-    long = ha.select(key, *CLASS_COLUMNS).unpivot(key, CLASS_COLUMNS, "class_column", "area")
-    return long.select(key, labels[F.col("class_column")].alias("category"), "area")
+    """One row per key and class, with the class named as in the factor mapping; the project area is left out.
+
+    As a generator, which keeps rows partitioned by key: the sums per key that follow need no further shuffle.
+    """
+    pairs = ", ".join(f"'{label}', {column}" for column, label in HECTARE_LABELS.items())
+    return ha.selectExpr(key, f"stack({len(HECTARE_LABELS)}, {pairs}) as (category, area)")
 
 
 def _small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:

@@ -168,13 +168,15 @@ def _join_on(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
     return a.join(b, [*_CELL, *keys]).drop(*keys)
 
 
-def spatial_exists(
-    left: DataFrame, right: DataFrame, test: str, grid: Grid, key: str, negate: bool = False
-) -> DataFrame:
-    """Rows of the left side with (or without) a partner on the right; ``key`` identifies a left row."""
-    found = spatial_pairs(left.select(key, "geom", *ENVELOPE), right.select("geom", *ENVELOPE), test, grid)
-    hits = found.select(F.col(f"l_{key}").alias(key))
-    return left.join(hits, key, "left_anti" if negate else "left_semi")
+def spatial_exists(left: DataFrame, right: DataFrame, test: str, grid: Grid, negate: bool = False) -> DataFrame:
+    """Rows of the left side with (or without) a partner on the right.
+
+    Copies of a shape count once on both sides. A row without geometry has no partner.
+    """
+    shaped = geo.with_shape(left)
+    sides = [geo.distinct_shapes(df).select("_shape", "geom", *ENVELOPE) for df in (shaped, geo.with_shape(right))]
+    hits = spatial_pairs(*sides, test, grid).select(F.col("l__shape").alias("_shape")).distinct()
+    return shaped.join(hits, "_shape", "left_anti" if negate else "left_semi").select(*left.columns)
 
 
 def spatial_left_join(left: DataFrame, right: DataFrame, test: str, grid: Grid, key: str) -> DataFrame:

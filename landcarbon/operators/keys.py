@@ -25,7 +25,8 @@ def drop_slivers(df: DataFrame, min_area: float = 33, area: str = "project_area"
 
 def key_in(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Rows whose key is in the first column of ``keys``; used as an existence filter, so rows never multiply."""
-    return df.join(keys.select(F.col(keys.columns[0]).alias(column)), column, "left_semi")
+    # Distinct first: the sides of an anti or semi join that AQE can split are only the left ones.
+    return df.join(keys.select(F.col(keys.columns[0]).alias(column)).distinct(), column, "left_semi")
 
 
 def not_in(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
@@ -39,7 +40,8 @@ def not_in(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     is_empty = facts.select(F.col("n") == 0).scalar()
     has_null = facts.select(F.col("n") > F.col("known")).scalar()
     possible = df.filter(is_empty | (~has_null & F.col(column).isNotNull()))
-    return possible.join(listed.filter(F.col(column).isNotNull()), column, "left_anti").select(*df.columns)
+    known = listed.filter(F.col(column).isNotNull()).distinct()
+    return possible.join(known, column, "left_anti").select(*df.columns)
 
 
 def composite_key(columns: list[str]) -> Column:
@@ -55,7 +57,7 @@ def composite_key(columns: list[str]) -> Column:
 def composite_not_in(df: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
     """Rows whose composite key does not occur in ``keys``."""
     marked = df.withColumn("_composite", composite_key(columns))
-    listed = keys.select(composite_key(columns).alias("_composite"))
+    listed = keys.select(composite_key(columns).alias("_composite")).distinct()
     return marked.join(listed, "_composite", "left_anti").select(*df.columns)
 
 

@@ -107,12 +107,14 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clipped_areas(spark: SparkSession, folder: str) -> DataFrame:
-    """One area per line item, with its feature and three label parts."""
-    items = table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("fid"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("area"),
-        "l_returnflag",
-        "l_linestatus",
+    """Areas of line items with their feature and three label parts.
+
+    Items of one order and kind are added up before the join, where an order with very many items would be one task.
+    """
+    items = (
+        table(spark, folder, "lineitem")
+        .groupBy(F.col("l_orderkey").alias("fid"), "l_returnflag", "l_linestatus")
+        .agg(F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("area"))
     )
     flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
     status = F.when(F.col("l_linestatus") == "F", 0).otherwise(1)

@@ -235,7 +235,7 @@ for _old, _new in (("5,4", "Forestry"), ("1,3,4", ""), ("3,4,1", ""), ("1,4", ""
 
 ORACLE: dict[str, str] = {
     "category_area": f"WITH {AREAS} SELECT fid, category, CAST(sum(area) AS DOUBLE) AS category_area FROM areas GROUP BY ALL",
-    "category_label": f"WITH {AREAS} SELECT lc_level2, lc_level3, condition, category, count(*) AS n FROM areas GROUP BY ALL",
+    "category_label": f"WITH {AREAS} SELECT lc_level2, lc_level3, condition, category, CAST(sum(area) AS DOUBLE) AS area FROM areas GROUP BY ALL",
     "pivoted_categories": f"WITH {DRAFT} SELECT fid, grant_id, {doubles(CATEGORY_COLUMNS)} FROM draft",
     "category_difference": f"WITH {DRAFT} SELECT fid, {doubles(['project_area', 'difference'])} FROM draft",
     "outside_map_split": f"WITH {ALLOC} SELECT fid, {doubles(list(OUTSIDE_GROUPS))} FROM alloc",

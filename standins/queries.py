@@ -62,7 +62,7 @@ def category_area(spark, d):
 @query
 def category_label(spark, d):
     labels = labelled_areas(spark, d).groupBy("lc_level2", "lc_level3", "condition", "category")
-    return labels.agg(F.count(F.lit(1)).alias("n"))
+    return labels.agg(F.sum("area").alias("area"))
 
 
 @query
@@ -475,9 +475,8 @@ def clip_report(spark, d):
 @query
 def unmapped_boxes(spark, d):
     """Order boxes that do not even touch a box of a returned item."""
-    right = item_boxes(spark, d).filter("l_returnflag = 'R'").select("geom", *ENVELOPE)
-    left = order_boxes(spark, d)
-    return spatial_exists(left, right, "intersects", GRID, "fid", negate=True).select("fid", "grant_id")
+    right = item_boxes(spark, d).filter("l_returnflag = 'R'")
+    return spatial_exists(order_boxes(spark, d), right, "intersects", GRID, negate=True).select("fid", "grant_id")
 
 
 @query

@@ -9,12 +9,12 @@ from landcarbon.functions import geo
 from landcarbon.functions.geo import ENVELOPE
 from landcarbon.operators import footprint, overlap, overlay
 from landcarbon.operators.dissolve import connected_components, dissolve, multi
-from landcarbon.operators.grid import Grid, spatial_exists, spatial_left_join, spatial_pairs, suggest_cell_size
+from landcarbon.operators.grid import Grid, cell_extents, crowded_cells, spatial_exists, spatial_left_join, spatial_pairs, suggest_cell_size
 from landcarbon.operators.points import points_in_polygons
 
 GRID = Grid(40.0)
 # Thresholds so low that nearly every cell is divided.
-DIVIDED = Grid(40.0, crowded_pairs=4, part_features=1)
+DIVIDED = Grid(80.0, crowded_pairs=4, part_features=1)
 FY = "financial_year_end"
 
 
@@ -53,15 +53,22 @@ def test_pairs_equal_brute_force(field, grid, name):
     assert set(found) == brute(field, getattr(geo, name))
 
 
+def test_crowded_cells_are_found(field):
+    cells = cell_extents(field, 80.0)
+    assert crowded_cells(cells, cells, Grid(80.0)) is None
+    hot = crowded_cells(cells, cells, DIVIDED).collect()
+    assert len(hot) > 5 and all(r._k > 1 for r in hot)
+
+
 def test_exists_and_left_join(spark, field):
     geo.register(spark)
     far = spark.sql("select 5000 id, 1 financial_year_end, lc_box(9000D, 9000D, 9001D, 9001D) geom")
     left = field.unionByName(geo.with_envelope(far))
     near = field.filter("id < 30")
     pairs = {(i, j) for i, j in brute(field, geo.intersects) if j < 30}
-    hit = {r.id for r in spatial_exists(left, near, "intersects", GRID, "id").collect()}
+    hit = {r.id for r in spatial_exists(left, near, "intersects", GRID).collect()}
     assert hit == {i for i, _ in pairs}
-    missed = {r.id for r in spatial_exists(left, near, "intersects", GRID, "id", negate=True).collect()}
+    missed = {r.id for r in spatial_exists(left, near, "intersects", GRID, negate=True).collect()}
     assert missed == {r.id for r in left.collect()} - hit
     joined = spatial_left_join(left, near, "intersects", GRID, "id").select("id", "r_id").collect()
     assert {(r.id, r.r_id) for r in joined} == pairs | {(i, None) for i in missed}
