@@ -70,10 +70,20 @@ def area(geom: Column | str) -> Column:
 
 
 def envelope(geom: Column | str) -> Column:
-    """Struct of minx, miny, maxx, maxy; NULL for an empty geometry."""
+    """Array of one (minx, miny, maxx, maxy), or of none for an empty geometry."""
     return _fn("envelope", geom)
 
 
+def present(geom: Column | str) -> Column:
+    """Array of the geometry, or of nothing if it is empty."""
+    return _fn("present", geom)
+
+
+def clip(a: Column | str, b: Column | str) -> Column:
+    """Array of the intersection, or of nothing for disjoint geometries."""
+    return _fn("clip", a, b)
+
+
 def point_on_surface(geom: Column | str) -> Column:
     return _fn("point_on_surface", geom)
 
@@ -108,7 +118,7 @@ def point(x: Column | float, y: Column | float) -> Column:
 
 
 def tile(geom: Column | str, size: Column | float, margin: float = 0.0) -> Column:
-    """Array of (ix, iy, geom): the pieces of a geometry in the cells of a square grid."""
+    """Array of (ix, iy, geom, envelope): the pieces of a geometry in the cells of a square grid."""
     return _fn("tile", geom, _real(size), _real(margin))
 
 
@@ -147,11 +157,15 @@ def union(geom: Column | str) -> Column:
     return _fn("union", geom)
 
 
-def with_envelope(df: DataFrame, geom: str = "geom") -> DataFrame:
-    """Add the four envelope columns, so that candidate filters run without touching the geometry."""
+def with_envelope(df: DataFrame, geom: str = "geom", drop_empty: bool = False) -> DataFrame:
+    """Add the four envelope columns, so that candidate filters run without touching the geometry.
+
+    They come from a generator, like other costly values here. The optimizer moves filters below plain columns, which
+    would evaluate the geometry function once more per filter.
+    """
     register(df.sparkSession)
-    boxed = df.withColumn("_env", envelope(geom))
-    return boxed.select(*df.columns, *(F.col(f"_env.{c}").alias(c) for c in ENVELOPE))
+    generator = F.inline if drop_empty else F.inline_outer
+    return df.select("*", generator(envelope(geom)))
 
 
 def explode_parts(df: DataFrame, geom: str = "geom") -> DataFrame:
@@ -164,7 +178,8 @@ def explode_parts(df: DataFrame, geom: str = "geom") -> DataFrame:
 def drop_empty(df: DataFrame, geom: str = "geom") -> DataFrame:
     """Rows whose geometry is neither NULL nor empty."""
     register(df.sparkSession)
-    return df.filter(F.col(geom).isNotNull() & ~is_empty(geom))
+    others = [c for c in df.columns if c != geom]
+    return df.select(*others, F.explode(present(geom)).alias(geom)).select(*df.columns)
 
 
 def with_area(df: DataFrame, geom: str = "geom", name: str = "project_area") -> DataFrame:
@@ -192,10 +207,10 @@ def feature_id(keys: list[str], geom: str = "geom") -> Column:
 def with_shape(df: DataFrame) -> DataFrame:
     """Add ``_shape``, a key that equal geometries share, so that copies are handled once."""
     register(df.sparkSession)
-    return df.withColumn("_shape", geometry_key("geom"))
+    return df.select("*", F.explode(F.array(geometry_key("geom"))).alias("_shape"))
 
 
 def distinct_shapes(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """One row per shape (and further columns) of a table with ``_shape``, with envelope and number of rows."""
     grouped = df.groupBy("_shape", *(extra or [])).agg(F.first("geom").alias("geom"), F.count(F.lit(1)).alias("copies"))
-    return with_envelope(grouped).filter(F.col("minx").isNotNull())
+    return with_envelope(grouped, drop_empty=True)

@@ -84,7 +84,7 @@ def dissolve(df: DataFrame, keys: list[str], grid: Grid) -> DataFrame:
 
 def _pieces(df: DataFrame, keys: list[str], grid: Grid) -> DataFrame:
     """Union per key and home cell, as single polygons with a stable id."""
-    placed = geo.with_envelope(df.select(*keys, "geom")).filter(F.col("minx").isNotNull())
+    placed = geo.with_envelope(df.select(*keys, "geom"), drop_empty=True)
     unions = placed.groupBy(*keys, *_home_cell(grid)).agg(geo.union("geom").alias("geom"))
     parts = geo.explode_parts(unions.select(*keys, "geom"))
     return geo.with_envelope(parts.withColumn("piece", geo.feature_id(keys)))

@@ -147,12 +147,10 @@ def spatial_pairs(
         & (F.col("l_miny") <= F.col("r_maxy"))
         & (F.col("r_miny") <= F.col("l_maxy"))
     )
-    here = (
-        (_cell_of(corner_x, grid.size) == F.col("_ix"))
-        & (_cell_of(corner_y, grid.size) == F.col("_iy"))
-        & (_part(corner_x, F.col("_ix"), grid.size) == F.col("_sx"))
-        & (_part(corner_y, F.col("_iy"), grid.size) == F.col("_sy"))
-    )
+    here = (_cell_of(corner_x, grid.size) == F.col("_ix")) & (_cell_of(corner_y, grid.size) == F.col("_iy"))
+    if hot is not None:
+        here = here & (_part(corner_x, F.col("_ix"), grid.size) == F.col("_sx"))
+        here = here & (_part(corner_y, F.col("_iy"), grid.size) == F.col("_sy"))
     keep = envelopes_meet & here
     if condition is not None:
         keep = keep & condition
@@ -195,11 +193,8 @@ def tiles(df: DataFrame, size: float, margin: float = 0.0) -> DataFrame:
     """
     geo.register(df.sparkSession)
     others = [c for c in df.columns if c not in ENVELOPE and c != "geom"]
-    cut = df.select(*others, F.explode(geo.tile("geom", size, margin)).alias("_piece"))
-    pieces = cut.select(
-        *others, F.col("_piece.ix").alias("_ix"), F.col("_piece.iy").alias("_iy"), F.col("_piece.geom").alias("geom")
-    )
-    return geo.with_envelope(pieces)
+    cut = df.select(*others, F.inline(geo.tile("geom", size, margin)))
+    return cut.withColumnsRenamed({"ix": "_ix", "iy": "_iy"})
 
 
 def divided_tiles(df: DataFrame, hot: DataFrame | None, grid: Grid, margin: float = 0.0) -> DataFrame:
@@ -210,15 +205,14 @@ def divided_tiles(df: DataFrame, hot: DataFrame | None, grid: Grid, margin: floa
     marked = df.join(hot, ["_ix", "_iy"], "left")
     whole = marked.filter("_k is null").withColumns({"_k": F.lit(1).cast("long"), "_sx": F.lit(0), "_sy": F.lit(0)})
     step = F.lit(float(grid.size)) / F.col("_k")
-    cut = marked.filter("_k is not null").select(
-        *others, "_k", F.explode(geo.tile("geom", step, margin)).alias("_piece")
-    )
+    cut = marked.filter("_k is not null").select(*others, "_k", F.inline(geo.tile("geom", step, margin)))
     parts = cut.select(
         *others,
         "_k",
-        F.col("_piece.geom").alias("geom"),
-        (F.col("_piece.ix") - F.col("_ix") * F.col("_k")).alias("_sx"),
-        (F.col("_piece.iy") - F.col("_iy") * F.col("_k")).alias("_sy"),
+        (F.col("ix") - F.col("_ix") * F.col("_k")).alias("_sx"),
+        (F.col("iy") - F.col("_iy") * F.col("_k")).alias("_sy"),
+        "geom",
+        *ENVELOPE,
     )
     inside = F.col("_sx").between(0, F.col("_k") - 1) & F.col("_sy").between(0, F.col("_k") - 1)
-    return whole.unionByName(geo.with_envelope(parts.filter(inside)))
+    return whole.unionByName(parts.filter(inside))

@@ -43,8 +43,10 @@ def points_in_polygons(polygons: DataFrame, points: DataFrame, grid: Grid, key:
     geo.register(polygons.sparkSession)
     size = float(grid.size)
     margin = size / 64
-    placed = points.select("condition", geo.xy("geom").alias("_p")).filter("_p is not null")
-    placed = placed.groupBy("_p.x", "_p.y", "condition").agg(F.count(F.lit(1)).alias("n"))
+    placed = geo.with_envelope(points.select("condition", "geom"), drop_empty=True)
+    placed = placed.groupBy(F.col("minx").alias("x"), F.col("miny").alias("y"), "condition").agg(
+        F.count(F.lit(1)).alias("n")
+    )
     placed = placed.withColumns({f"_i{a}": F.floor(F.col(a) / F.lit(size)).cast("long") for a in "xy"})
     pieces = tiles(polygons.select(key, "geom"), size, margin)
     hot = crowded_cells(

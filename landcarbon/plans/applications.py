@@ -33,6 +33,6 @@ def report(
     polygons = geo.explode_parts(footprints.select("grant_id", "geom"))
     work = polygons.withColumn("geom", geo.make_valid("geom"))
     work = cut_lineage(geo.drop_empty(work))
-    draft = overlay_report(work, baseline, grid, drop_empty=True)
+    draft = overlay_report(work, baseline, grid)
     enriched = enrich_application(with_grid_ref(draft), grants)
     return finalise(with_difference(enriched), points, grid, run_date, integer_shares=False)

@@ -467,7 +467,7 @@ def box_clip_area(spark, d):
 def clip_report(spark, d):
     """The whole overlay job up to the wide draft, one row per distinct grant and box."""
     work = order_boxes(spark, d).select("grant_id", "geom")
-    draft = overlay.overlay_report(work, tile_map(spark, d), GRID, drop_empty=True)
+    draft = overlay.overlay_report(work, tile_map(spark, d), GRID)
     boxed = geo.with_envelope(draft).drop("geom")
     return boxed.select("grant_id", *ENVELOPE, "project_area", *CATEGORY_COLUMNS)
 
