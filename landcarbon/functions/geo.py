@@ -205,9 +205,12 @@ def feature_id(keys: list[str], geom: str = "geom") -> Column:
 
 
 def with_shape(df: DataFrame) -> DataFrame:
-    """Add ``_shape``, a key that equal geometries share, so that copies are handled once."""
+    """Add ``_shape``, a key that copies of a geometry share, so that they are handled once.
+
+    Equal bytes are enough here: shapes that are equal but differ in their vertices are left to the geometry tests.
+    """
     register(df.sparkSession)
-    return df.select("*", F.explode(F.array(geometry_key("geom"))).alias("_shape"))
+    return df.select("*", F.explode(F.array(F.md5("geom"))).alias("_shape"))
 
 
 def distinct_shapes(df: DataFrame, extra: list[str] | None = None) -> DataFrame:

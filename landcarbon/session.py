@@ -25,17 +25,23 @@ def local_session(cores: int | str = "*", app: str = "landcarbon", memory: str =
     )
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write a result to the cluster's checkpoint folder and read on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder, from ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a local session without one gets a temporary folder.
+    Only a local session without that setting gets a temporary folder.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="landcarbon-checkpoint-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write a result to the shared checkpoint folder and read on from there, also after executors are lost."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -371,6 +371,25 @@ ORACLE: dict[str, str] = {
       SELECT grant_id, CAST(financial_year_end AS INT) AS financial_year_end,
              CAST(sum(CASE WHEN fy <= financial_year_end THEN 1 ELSE 0 END) AS DOUBLE) AS area
       FROM cells JOIN last USING (x, y) GROUP BY grant_id, financial_year_end""",
+    # The representative point of a square is its centre. Parts are linked by common ground or a common border.
+    "overlap_dissolve": f"""WITH RECURSIVE {CELLS}, hits AS (
+        SELECT a.fid, bool_or(a.financial_year_end = b.financial_year_end) AS same FROM boxes a JOIN boxes b ON {OVERLAPS} GROUP BY a.fid),
+      flagged AS (SELECT * FROM boxes WHERE fid IN (SELECT fid FROM hits WHERE same)),
+      edges AS (SELECT a.fid AS a, b.fid AS b FROM flagged a JOIN flagged b
+        ON a.financial_year_end = b.financial_year_end AND {MEET}
+           AND (least(a.maxx, b.maxx) > greatest(a.minx, b.minx) OR least(a.maxy, b.maxy) > greatest(a.miny, b.miny))),
+      reach(fid, root) AS (
+        SELECT fid, fid FROM flagged UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.fid),
+      part AS (SELECT fid, min(root) AS part FROM reach GROUP BY fid),
+      members AS (SELECT * FROM flagged JOIN part USING (fid)),
+      found AS (SELECT DISTINCT m.part, p.grant_id FROM members m JOIN flagged p
+        ON p.minx + p.w / 2 BETWEEN m.minx AND m.maxx AND p.miny + p.w / 2 BETWEEN m.miny AND m.maxy),
+      ground AS (SELECT part, count(DISTINCT (x, y)) AS area FROM cells JOIN part USING (fid) GROUP BY part),
+      named AS (SELECT part, string_agg(grant_id, ',' ORDER BY grant_id) AS grant_id FROM found GROUP BY part)
+      SELECT grant_id, CAST(financial_year_end AS INT) AS financial_year_end, CAST(area AS DOUBLE) AS area
+      FROM named JOIN ground USING (part) JOIN (SELECT DISTINCT part, financial_year_end FROM members) USING (part)
+      UNION ALL SELECT grant_id, CAST(financial_year_end AS INT), CAST(w * w AS DOUBLE) FROM boxes
+      WHERE fid NOT IN (SELECT fid FROM flagged)""",
     "footprint_by_grant": f"""WITH {CELLS} SELECT grant_id, CAST(financial_year_end AS VARCHAR) AS site_id, CAST(count(DISTINCT (x, y)) AS DOUBLE) AS area
       FROM cells GROUP BY grant_id, financial_year_end""",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -20,7 +20,7 @@ from landcarbon.operators.changes import track_changes
 from landcarbon.operators.dissolve import dissolve, multi
 from landcarbon.operators.grid import Grid, spatial_exists, spatial_pairs
 from landcarbon.plans.reporting import report_by_grant, report_by_year
-from landcarbon.session import cut_lineage
+from landcarbon.session import cut_lineage, shared_folder
 from landcarbon.sources.snapshots import latest_snapshot, publish_latest, write_snapshot
 from standins.inputs import (
     draft_report,
@@ -389,8 +389,7 @@ def changes_since_snapshot(spark, d):
 
 @query
 def newest_snapshot(spark, d):
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    base = tempfile.mkdtemp(prefix="snapshots-") if folder is None else f"{folder}/snapshots"
+    base = f"{shared_folder(spark)}/snapshots-{uuid.uuid4().hex}"
     df = orders(spark, d).select("fid", "grant_id", "financial_year_end")
     write_snapshot(df.filter("financial_year_end < 2000"), base, "report", date(2024, 9, 4))
     write_snapshot(df.filter("financial_year_end >= 2000"), base, "report", date(2025, 12, 12))
@@ -551,6 +550,14 @@ def footprint_by_grant(spark, d):
     return done.groupBy("grant_id", "site_id").agg(F.round(F.sum(geo.area("geom")), 2).alias("area"))
 
 
+@query
+def overlap_dissolve(spark, d):
+    """Overlapping boxes of a year dissolved, with the grants found in each part; other boxes as they are."""
+    flagged = cut_lineage(overlap.flag_overlap(order_boxes(spark, d), GRID))
+    done = overlap.dissolve_overlapping(flagged, GRID)
+    return done.select("grant_id", "financial_year_end", F.round(geo.area("geom"), 2).alias("area"))
+
+
 @query
 def resolved_overlaps(spark, d):
     """The three steps against overlaps in a row; checked by properties in the tests."""
