@@ -21,7 +21,7 @@ from landcarbon.functions.geo import ENVELOPE
 CROWDED_PAIRS = 4_000_000
 PART_FEATURES = 500
 # Divisions of a crowded cell are copied to every executor up to this many; more are joined by shuffle.
-BROADCAST_CELLS = 100_000
+BROADCASTCELLS = 100_000
 
 TESTS = {
     "intersects": geo.intersects,
@@ -30,7 +30,7 @@ TESTS = {
     "overlaps": geo.overlaps,
     "equals": geo.equals,
 }
-_CELL = ["_ix", "_iy", "_k", "_sx", "_sy"]
+CELL = ["_ix", "_iy", "_k", "_sx", "_sy"]
 
 
 class Grid(NamedTuple):
@@ -83,10 +83,10 @@ def crowded_cells(left: DataFrame, right: DataFrame, grid: Grid) -> DataFrame |
     useful = F.floor(F.lit(grid.size) / F.greatest(F.col("extent"), F.lit(grid.size / 1024)))
     hot = cells.select("_ix", "_iy", F.greatest(F.least(wanted, useful), F.lit(1)).cast("long").alias("_k"))
     hot = hot.filter("_k > 1")
-    found = hot.limit(BROADCAST_CELLS + 1).count()
+    found = hot.limit(BROADCASTCELLS + 1).count()
     if found == 0:
         return None
-    return F.broadcast(hot) if found <= BROADCAST_CELLS else hot
+    return F.broadcast(hot) if found <= BROADCASTCELLS else hot
 
 
 def _part(value: Column, index: Column, size: float) -> Column:
@@ -116,6 +116,25 @@ def cell_extents(df: DataFrame, size: float) -> DataFrame:
     return cells.select("_ix", "_iy", extent.alias("extent"))
 
 
+def in_cells(sides: dict[str, DataFrame], grid: Grid) -> tuple[list[DataFrame], DataFrame | None]:
+    """Two sides with prefixed columns, listed under the cells they cover, crowded cells divided."""
+    hot = crowded_cells(*(cell_extents(df, grid.size) for df in sides.values()), grid)
+    listed = []
+    for prefix, df in sides.items():
+        cells = covered_cells(_prefixed(df, prefix), grid.size, prefix)
+        listed.append(_divide(cells, hot, grid.size, prefix))
+    return listed, hot
+
+
+def envelopes_meet() -> Column:
+    return (
+        (F.col("l_minx") <= F.col("r_maxx"))
+        & (F.col("r_minx") <= F.col("l_maxx"))
+        & (F.col("l_miny") <= F.col("r_maxy"))
+        & (F.col("r_miny") <= F.col("l_maxy"))
+    )
+
+
 def spatial_pairs(
     left: DataFrame,
     right: DataFrame,
@@ -131,30 +150,47 @@ def spatial_pairs(
     columns, tried before the geometry.
     """
     geo.register(left.sparkSession)
-    sides = {
-        "l_": covered_cells(_prefixed(left, "l_"), grid.size, "l_"),
-        "r_": covered_cells(_prefixed(right, "r_"), grid.size, "r_"),
-    }
-    hot = crowded_cells(cell_extents(left, grid.size), cell_extents(right, grid.size), grid)
-    a, b = (_divide(cells, hot, grid.size, prefix) for prefix, cells in sides.items())
-
-    met = a.join(b, [*_CELL]) if not on else _join_on(a, b, on)
+    (a, b), hot = in_cells({"l_": left, "r_": right}, grid)
+    met = a.join(b, [*CELL]) if not on else _join_on(a, b, on)
     corner_x = F.greatest("l_minx", "r_minx")
     corner_y = F.greatest("l_miny", "r_miny")
-    envelopes_meet = (
-        (F.col("l_minx") <= F.col("r_maxx"))
-        & (F.col("r_minx") <= F.col("l_maxx"))
-        & (F.col("l_miny") <= F.col("r_maxy"))
-        & (F.col("r_miny") <= F.col("l_maxy"))
-    )
     here = (_cell_of(corner_x, grid.size) == F.col("_ix")) & (_cell_of(corner_y, grid.size) == F.col("_iy"))
     if hot is not None:
         here = here & (_part(corner_x, F.col("_ix"), grid.size) == F.col("_sx"))
         here = here & (_part(corner_y, F.col("_iy"), grid.size) == F.col("_sy"))
-    keep = envelopes_meet & here
+    keep = envelopes_meet() & here
+    if condition is not None:
+        keep = keep & condition
+    return met.filter(keep & TESTS[test](F.col("l_geom"), F.col("r_geom"))).drop(*CELL)
+
+
+def spatial_hits(
+    left: DataFrame,
+    right: DataFrame,
+    test: str,
+    grid: Grid,
+    keys: list[str],
+    on: list[str] | None = None,
+    condition: Column | None = None,
+) -> DataFrame:
+    """Distinct keys of the left features with at least one partner on the right.
+
+    A semi join on the cell: it goes on to the next feature at the first partner, so that a place where very many
+    features overlap costs no pairs. ``on`` names columns that must be equal, which a NULL never is.
+    """
+    geo.register(left.sparkSession)
+    (a, b), _ = in_cells({"l_": left, "r_": right}, grid)
+    b = b.withColumnsRenamed({c: f"_r{c}" for c in CELL})
+    together = F.lit(True)
+    for c in CELL:
+        together = together & (F.col(c) == F.col(f"_r{c}"))
+    for c in on or []:
+        together = together & (F.col(f"l_{c}") == F.col(f"r_{c}"))
+    keep = together & envelopes_meet()
     if condition is not None:
         keep = keep & condition
-    return met.filter(keep & TESTS[test](F.col("l_geom"), F.col("r_geom"))).drop(*_CELL)
+    hits = a.join(b, keep & TESTS[test](F.col("l_geom"), F.col("r_geom")), "left_semi")
+    return hits.select(*(F.col(f"l_{k}").alias(k) for k in keys)).distinct()
 
 
 def _join_on(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
@@ -163,7 +199,7 @@ def _join_on(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
         a = a.withColumn(f"_on_{c}", F.struct(F.col("l_" + c)))
         b = b.withColumn(f"_on_{c}", F.struct(F.col("r_" + c)))
     keys = [f"_on_{c}" for c in on]
-    return a.join(b, [*_CELL, *keys]).drop(*keys)
+    return a.join(b, [*CELL, *keys]).drop(*keys)
 
 
 def spatial_exists(left: DataFrame, right: DataFrame, test: str, grid: Grid, negate: bool = False) -> DataFrame:
@@ -173,7 +209,7 @@ def spatial_exists(left: DataFrame, right: DataFrame, test: str, grid: Grid, neg
     """
     shaped = geo.with_shape(left)
     sides = [geo.distinct_shapes(df).select("_shape", "geom", *ENVELOPE) for df in (shaped, geo.with_shape(right))]
-    hits = spatial_pairs(*sides, test, grid).select(F.col("l__shape").alias("_shape")).distinct()
+    hits = spatial_hits(*sides, test, grid, ["_shape"])
     return shaped.join(hits, "_shape", "left_anti" if negate else "left_semi").select(*left.columns)
 
 

@@ -512,7 +512,7 @@ def overlap_flag_any(spark, d):
 @query
 def equal_boxes(spark, d):
     """Distinct squares that remain once equal ones are removed, and how many rows are left of each."""
-    kept = overlap.drop_equal(item_boxes(spark, d), GRID, ["l_orderkey", "l_linenumber"])
+    kept = overlap.drop_equal(item_boxes(spark, d), ["l_orderkey", "l_linenumber"])
     return kept.groupBy(*ENVELOPE).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -124,15 +124,16 @@ def test_drop_covered(field, grid):
     assert left == {r.id for r in field.collect()} - covered
 
 
-def test_flag_overlap(field):
+@pytest.mark.parametrize("grid", [GRID, DIVIDED])
+def test_flag_overlap(field, grid):
     df = field.withColumn(FY, F.when(F.col("id") != 20, F.col(FY)))
     years = {r.id: r[FY] for r in df.collect()}
     pairs = brute(field, geo.overlaps)
-    for r in overlap.flag_overlap(df, GRID).collect():
+    for r in overlap.flag_overlap(df, grid).collect():
         others = [j for i, j in pairs if i == r.id]
         same = any(years[j] == years[r.id] is not None for j in others)
         assert r.overlap == (1 if same else None if others else 0)
-    flags = {r.id: r.overlap for r in overlap.flag_overlap(df, GRID, group=None).collect()}
+    flags = {r.id: r.overlap for r in overlap.flag_overlap(df, grid, group=None).collect()}
     assert flags == {i: int(any(a == i for a, _ in pairs)) for i in years}
 
 
@@ -141,14 +142,15 @@ def test_drop_equal_compares_shapes_not_vertices(spark, field):
     square = "POLYGON ((0 0, 10 0, 10 10, 0 10, 0 0))"
     more_vertices = "POLYGON ((10 10, 0 10, 0 5, 0 0, 10 0, 10 10))"
     df = spark.createDataFrame([("a", square), ("b", more_vertices), ("c", square)], "grant_id string, wkt string")
-    kept = overlap.drop_equal(df.select("grant_id", geo.from_text("wkt").alias("geom")), GRID, ["grant_id"])
+    kept = overlap.drop_equal(df.select("grant_id", geo.from_text("wkt").alias("geom")), ["grant_id"])
     assert kept.count() == 1
-    assert overlap.drop_equal(field, GRID, ["id"]).count() == field.count() - 5
+    assert overlap.drop_equal(field, ["id"]).count() == field.count() - 5
 
 
-def test_priority_subtract(field):
+@pytest.mark.parametrize("grid", [GRID, DIVIDED, Grid(1000.0)])
+def test_priority_subtract(field, grid):
     df = field.select(F.col("id").cast("string").alias("grant_id"), FY, "geom")
-    cut = overlap.subtract_higher_priority(df, GRID).cache()
+    cut = overlap.subtract_higher_priority(df, grid).cache()
     assert cut.count() == df.count()
     # No ground is shared between years any more, and none is lost.
     by_year = cut.groupBy(FY).agg(geo.union("geom").alias("geom")).select(geo.area("geom").alias("a"))
