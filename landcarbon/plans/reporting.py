@@ -44,7 +44,6 @@ def report_by_year(report: DataFrame, mapping: DataFrame, factors: DataFrame, le
     return Rollup(m2, ha, emissions, savings(emissions, "year"))
 
 
-def in_report_order(df: DataFrame) -> DataFrame:
+def in_report_order(df: DataFrame, key: str = "grant_id") -> DataFrame:
     """Order for output: by key, and by factor name where there is one."""
-    keys = [c for c in ("grant_id", "year", "emission_factor_pre") if c in df.columns]
-    return df.orderBy(*keys)
+    return df.orderBy(*(c for c in (key, "emission_factor_pre") if c in df.columns))

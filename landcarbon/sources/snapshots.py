@@ -58,11 +58,11 @@ def latest_snapshot(spark: SparkSession, base: str, name: str) -> DataFrame:
     return read_snapshot(spark, base, name, runs[-1])
 
 
-def publish_latest(spark: SparkSession, base: str, pipeline: str, name: str) -> str:
-    """Point the view ``<pipeline>_<name>_latest`` at the newest run.
+def publish_latest(spark: SparkSession, base: str, name: str) -> str:
+    """Point the view ``<name>_latest`` at the newest run.
 
-    The pipeline is part of the view name, so that one pipeline does not replace another's view.
+    Names start with their pipeline, so that one pipeline does not replace another's view.
     """
-    view = f"{pipeline}_{name}_latest"
+    view = f"{name}_latest"
     latest_snapshot(spark, base, name).createOrReplaceTempView(view)
     return view

@@ -393,7 +393,7 @@ def newest_snapshot(spark, d):
     df = orders(spark, d).select("fid", "grant_id", "financial_year_end")
     write_snapshot(df.filter("financial_year_end < 2000"), base, "report", date(2024, 9, 4))
     write_snapshot(df.filter("financial_year_end >= 2000"), base, "report", date(2025, 12, 12))
-    publish_latest(spark, base, "standin", "report")
+    publish_latest(spark, base, "report")
     return latest_snapshot(spark, base, "report")
 
 

@@ -1,6 +1,6 @@
 """The worked example: one box grant from its geometry to savings, in all three forms."""
 
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -13,6 +13,7 @@ from landcarbon.operators.grid import Grid
 from landcarbon.plans import applications, finalise
 from landcarbon.operators.categories import with_difference
 from landcarbon.operators.overlay import overlay_report
+from landcarbon.plans.publish import publish_report, publish_rollup
 from landcarbon.plans.reporting import report_by_grant, report_by_year
 
 REWETTED = "Rewetted Modified (Semi-natural) Bog"
@@ -112,3 +113,19 @@ def test_classes_add_up_to_the_polygon(spark, forestry):
     total = m2.first().project_area_class + allocated.first().forest_outside_map
     expected = 1_000_000 if forestry is not None else 1_000_000 - 52_000
     assert total == pytest.approx(expected)
+
+
+def test_published_tables(spark, tmp_path):
+    base, mapping, factors = str(tmp_path), inputs(spark)[4], total_factors(spark)
+    with pytest.raises(LookupError):
+        publish_rollup(spark, base, "final", mapping, factors, datetime(2025, 12, 12, 9))
+    report = final_report(spark).withColumn("grant_id", F.lit("G1"))
+    assert publish_report(report, base, "final", date(2025, 12, 12)) == "final_report_latest"
+    total = publish_rollup(spark, base, "final", mapping, factors, datetime(2025, 12, 12, 9)).first()
+    assert (total.grant_id, total.savings_break1) == ("G1", Decimal("754.62"))
+    assert spark.table("final_ha_latest").first().drained_modified_bog == 90
+    yearly = publish_rollup(
+        spark, base, "final", mapping, factors, datetime(2025, 12, 12, 10), "financial_year_end", legacy_bog=True
+    ).first()
+    assert (yearly.financial_year_end, yearly.savings_break1) == (2025, Decimal("422.46"))
+    assert spark.table("final_emissions_latest").count() == 2

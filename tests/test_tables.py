@@ -258,8 +258,8 @@ def test_snapshots(spark, tmp_path):
     snapshots.write_snapshot(spark.range(1).withColumn("n", F.lit(9)), base, "report", date(2025, 12, 12))
     assert [r.n for r in snapshots.latest_snapshot(spark, base, "report").collect()] == [9]
     assert snapshots.read_snapshot(spark, base, "report", "20240904").count() == 3
-    view = snapshots.publish_latest(spark, base, "final", "report")
-    assert view == "final_report_latest" and spark.table(view).columns == ["id", "n"]
+    view = snapshots.publish_latest(spark, base, "report")
+    assert view == "report_latest" and spark.table(view).columns == ["id", "n"]
     assert snapshots.run_id_of(datetime(2025, 1, 2, 3, 4, 5)) == "20250102_030405"
     assert snapshots.write_table(df, f"{base}/t").count() == snapshots.write_table(df, f"{base}/t").count() == 3
 
