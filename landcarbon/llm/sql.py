@@ -44,15 +44,15 @@ def quality_sql() -> str:
     broken = " or ".join(quality_rules.rule_sql(m, lo, hi).replace("0D", "0").replace("D ", " ").replace("D,", ",") for _, m, lo, hi in quality_rules.RULES)
     return rf"""
 with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents),
-w as (select *, regexp_extract_all(t, '[^{WHITE}]+') as w, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^{WHITE}]')) as l from d),
+w as (select *, regexp_extract_all(t, '[^{WHITE}]+') as w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{WHITE}]')) as l from d),
 win as (select rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as k from w, unnest(range(1, len(w) - 1)) as r(i)),
 twice as (select rid, i from (select *, count(*) over (partition by rid, k) as c from win) where c > 1),
 rep as (select rid, count(distinct i + o) as n from twice, range(0, 3) as r(o) group by rid),
 c as (select rid, doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
     len(regexp_extract_all(t, '[#*$%&|<>]')) as n_symbols, len(regexp_extract_all(t, '[A-Z]')) as n_upper,
-    len(list_filter(w, x -> lower(x) in ({stop}))) as n_stop, len(l) as n_lines, len(l) - len(list_distinct(l)) as n_dup_lines,
-    len(list_filter(l, x -> regexp_matches(x, '(\.\.\.|…)[{WHITE}]*$'))) as n_cut_lines,
-    len(list_filter(l, x -> regexp_matches(x, '^[{WHITE}]*[-*•]'))) as n_bullets, coalesce(rep.n, 0) as n_repeat_words
+    len(list_filter(w, lambda x: lower(x) in ({stop}))) as n_stop, len(l) as n_lines, len(l) - len(list_distinct(l)) as n_dup_lines,
+    len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[{WHITE}]*$'))) as n_cut_lines,
+    len(list_filter(l, lambda x: regexp_matches(x, '^[{WHITE}]*[-*•]'))) as n_bullets, coalesce(rep.n, 0) as n_repeat_words
     from w left join rep using (rid))
 select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols,
     cast(n_dup_lines as bigint) as n_dup_lines, cast(n_repeat_words as bigint) as n_repeat_words, ({quality_rules.BASE_FAILED}) as base_failed,
@@ -64,8 +64,8 @@ def decontaminate_sql() -> str:
     n = decontaminate.WINDOW
     words = "string_split(trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g')), ' ')"
     return f"""
-with items as (select coalesce(cast(item_id as varchar), 'null') as item, list_filter({words}, x -> x <> '') as w from benchmark),
-docs as (select row_number() over () as rid, doc_id, list_filter({words}, x -> x <> '') as w from documents),
+with items as (select coalesce(cast(item_id as varchar), 'null') as item, list_filter({words}, lambda x: x <> '') as w from benchmark),
+docs as (select row_number() over () as rid, doc_id, list_filter({words}, lambda x: x <> '') as w from documents),
 wins as (select distinct item, least(len(w), {n}) as n, array_to_string(w[i:i + least(len(w), {n}) - 1], ' ') as k
     from items, unnest(range(1, greatest(len(w) - {n}, 0) + 2)) as r(i) where len(w) > 0),
 sizes as (select distinct n from wins),
