@@ -7,8 +7,8 @@ texts that share the share J of their k-mers have the same sketch with a chance
 with 24 sketches, at J = 0.8 they miss all with a chance of 3 in a million.
 
 Equal texts (by their words) are one node. Nodes with an equal sketch are a bucket; its smallest node is aligned with
-each other one, so a bucket of n gives n - 1 pairs. Buckets in which an alignment fails are looked through once more by
-pairs of sketches, with their largest node in the middle. A pair holds if at most a fifth of the longer text's words
+each other one, so a bucket of n gives n - 1 pairs. Buckets in which an alignment fails are looked through once more,
+each with a node of its own in the middle, which a hash picks; so such nodes meet up to 24 others. A pair holds if at most a fifth of the longer text's words
 must be inserted, deleted or replaced. Classes are the connected components of these pairs.
 
 A text of fewer than five words is one k-mer; texts without words, null among them, are copies of each other. A node
@@ -101,9 +101,10 @@ def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return map_arrow(docs.select(id_col, text_col), run, f"doc_id {dict(docs.dtypes)[id_col]}, node long, keys array<long>, codes string")
 
 
-def _stars(members: DataFrame, largest: bool = False) -> DataFrame:
+def _stars(members: DataFrame, any_node: bool = False) -> DataFrame:
     """(key, a, b): the middle of each bucket with each other node of it."""
-    middle = members.groupBy("key").agg((F.max if largest else F.min)("node").alias("a"), F.count(F.lit(1)).alias("n"))
+    pick = F.min_by("node", F.xxhash64("node", "key")) if any_node else F.min("node")
+    middle = members.groupBy("key").agg(pick.alias("a"), F.count(F.lit(1)).alias("n"))
     return members.withColumnRenamed("node", "b").join(middle.filter("n > 1").drop("n"), "key").filter("a != b")
 
 
@@ -115,10 +116,14 @@ def aligned(pairs: DataFrame, codes: DataFrame, similarity: float = SIMILARITY)
     of = lambda side: codes.select(F.col("node").alias(side), F.col("codes").alias(f"codes_{side}"))
     both = pairs.join(of("b"), "b").join(of("a"), "a")
     both = both.withColumn("limit", F.floor(F.greatest(F.length("codes_a"), F.length("codes_b")) * (1 - similarity)).cast("int"))
+    # A word that stands on one side only costs an edit, so too many of them rule a pair out.
+    lone = "size(array_except(split(codes_{}, ''), split(codes_{}, ''))) > limit"
     near = F.expr(
-        "abs(length(codes_a) - length(codes_b)) <= limit and coalesce("
-        + ", ".join(f"nullif(levenshtein(codes_a, codes_b, least({w}, limit)), -1)" for w in (16, 128))
-        + ", levenshtein(codes_a, codes_b, limit)) >= 0"
+        "case when abs(length(codes_a) - length(codes_b)) > limit then false "
+        "when levenshtein(codes_a, codes_b, least(16, limit)) >= 0 then true "
+        f"when limit <= 16 or {lone.format('a', 'b')} or {lone.format('b', 'a')} then false "
+        "when levenshtein(codes_a, codes_b, least(128, limit)) >= 0 then true "
+        "when limit <= 128 then false else levenshtein(codes_a, codes_b, limit) >= 0 end"
     )
     return both.select("a", "b", near.alias("near"))
 
@@ -130,12 +135,10 @@ def links(sk: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     first = stars.select("a", "b").distinct()
     tested = staged(aligned(first, _codes(sk, first), similarity))
 
-    # Buckets with a pair that fails, once more by pairs of their sketches.
+    # Buckets with a pair that fails, once more around other nodes.
     failed = stars.join(tested.filter("not near").select("a", "b"), ["a", "b"], "left_semi").select("key").distinct()
-    nodes = members.join(failed, "key", "left_semi").select("node").distinct()
-    again = members.join(nodes, "node", "left_semi").groupBy("node").agg(F.array_sort(F.collect_set("key")).alias("ks"))
-    finer = again.selectExpr("node", "explode(flatten(transform(ks, (x, i) -> transform(slice(ks, i + 2, size(ks)), y -> xxhash64(x, y))))) as key")
-    second = _stars(finer, largest=True).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    second = _stars(members.join(failed, "key", "left_semi"), any_node=True)
+    second = second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     second = staged(second.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
     more = staged(aligned(second, _codes(sk, second), similarity))
     return tested.unionByName(more).filter("near").select("a", "b")
