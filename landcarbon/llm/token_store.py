@@ -27,12 +27,17 @@ from pyspark.sql import functions as F
 from landcarbon.llm.common import map_arrow, shared_path
 
 SEGMENT = 1 << 19
-CACHE = 300_000  # distinct pieces that a task keeps
+CACHE = 500_000  # distinct pieces that a task keeps
 BLOCK = 512
 MAGIC = b"DAC1"
-WORD_END = "</w>"
-# A word of Latin letters with marks behind it: the tokenizer splits between them, and lower case keeps them letters.
-SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:*%&$#|]*)").fullmatch
+# A word of these letters keeps them under normalisation, but for their case; the tokenizer splits it from the marks.
+LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+PLAIN = re.compile(f"[{LETTERS}{LETTERS.replace('ß', '').replace('ÿ', '').upper()}]+").fullmatch
+MARKS = b".,!?;:*%&$#|"
+
+
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -105,19 +110,23 @@ class Codes:
 class Tokens:
     """Ids of texts as little-endian bytes, by a tokenizer that never joins what white space separates.
 
-    It also splits words from marks and closes every word with ``WORD_END``; each distinct piece is encoded once.
+    It also splits words from marks, so each distinct word and each distinct run of marks is encoded once.
     """
 
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        from tokenizers.pre_tokenizers import ByteLevel
+
         made = Tokenizer.from_str(tokenizer)
         self.batch = getattr(made, "encode_batch_fast", made.encode_batch)
-        size = made.get_vocab_size()
-        self.ends = np.array([(made.id_to_token(i) or "").endswith(WORD_END) for i in range(size)])
+        self.merge = made.model.tokenize
+        # What the byte-level step makes of a letter.
+        shown = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.shown = {ord(c): shown(c)[0][0] for c in LETTERS}
         self.known: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [(text or "").encode().split() for text in texts]
@@ -126,29 +135,32 @@ class Tokens:
         if len(self.known) + len(new) > CACHE:
             self.known, new = {}, list(pieces)
             self.words = {}
-        self._learn([p.decode() for p in new])
+        self._learn(new)
         return [b"".join(map(self.known.__getitem__, own)) for own in split]
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Ids of new pieces. Words are looked up apart from the marks behind them, many in one call."""
-        parts = [m.groups() if (m := SIMPLE(p)) else None for p in pieces]
-        words = list({w for part in parts if part for w in (part[0].lower(), part[1])} - self.words.keys() - {""})
-        for at in range(0, len(words), 1000):
-            own = words[at : at + 1000]
-            ids = np.array(self.batch([" ".join(own)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(own):  # each one gave one word end
-                data, cuts = ids.tobytes(), [0, *cuts.tolist()]
-                self.words.update((w, data[4 * a : 4 * b]) for w, a, b in zip(own, cuts, cuts[1:]))
-            else:
-                self.words.update(zip(own, self._each(own)))
-        self.words[""] = b""
-        whole = [p for p, part in zip(pieces, parts) if not part]
-        self.known.update(zip([p.encode() for p in whole], self._each(whole)))
-        self.known.update((p.encode(), self.words[part[0].lower()] + self.words[part[1]]) for p, part in zip(pieces, parts) if part)
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Ids of new pieces. A word of plain letters goes to the merges at once, apart from the marks behind it."""
+        words, whole = self.words, []
+        for piece in pieces:
+            word = piece.rstrip(MARKS)
+            if not word.isalpha() and not PLAIN(word.decode()):
+                whole.append(piece)
+                continue
+            tail = piece[len(word) :]
+            low = word.lower() if word.isascii() else word.decode().lower().encode()
+            ids = words.get(low)
+            if ids is None:
+                text = low.decode() if low.isascii() else low.decode().translate(self.shown)
+                ids = words[low] = pack_ids([t.id for t in self.merge(text)])
+            if tail:
+                if tail not in words:
+                    words[tail] = self._each([tail.decode()])[0]
+                ids += words[tail]
+            self.known[piece] = ids
+        self.known.update(zip(whole, self._each([p.decode() for p in whole])))
 
     def _each(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.batch(pieces, add_special_tokens=False)]
+        return [pack_ids(e.ids) for e in self.batch(pieces, add_special_tokens=False)]
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -208,7 +220,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 first, codes = batch.column(0)[k].as_py(), Codes(batch.column(3)[k].as_py())
                 ends = np.array(batch.column(2)[k].values)
                 starts = np.concatenate(([0], ends[:-1]))
-                sums = [zlib.crc32(codes.run(a, b).tobytes()) for a, b in zip(starts.tolist(), ends.tolist())]
+                ids = memoryview(codes.run(0, len(codes))).cast("B")  # all documents of a segment are wanted here
+                sums = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
                 arrays = [batch.column(1)[k].values, pa.array(first + starts, pa.int64()), pa.array(ends - starts, pa.int64()), pa.array(sums, pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
