@@ -13,6 +13,7 @@ as an empty one; repeated rows count as often as they stand.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 from collections import Counter
@@ -110,7 +111,8 @@ class Words:
         self.begin = self.size + 1
         opened = [(np.load(f"{folder}/word-{i}.npy", mmap_mode="r"), np.load(f"{folder}/times-{i}.npy", mmap_mode="r")) if n else None for i, n in enumerate(sizes)]
         self.shards = opened
-        self.known: dict[bytes, tuple[int, int]] = {}
+        self.known: dict[bytes, int] = {}  # place in the two arrays behind
+        self.id_of, self.times_of = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def ids(self, rows: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Id and training count of every token of the rows, one row behind the other."""
@@ -118,6 +120,7 @@ class Words:
         new = list(seen - self.known.keys())
         if len(self.known) + len(new) > KNOWN:
             self.known, new = {}, list(seen)
+            self.id_of, self.times_of = np.zeros(0, np.int64), np.zeros(0, np.int64)
         h = hashes(new)
         order = np.argsort(h)
         at = np.full(len(new), self.size, np.int64)
@@ -133,10 +136,10 @@ class Words:
             hit = table[place] == h[own]
             at[own[hit]] = place[hit] + self.start[s]
             times[own[hit]] = n[place[hit]]
-        self.known.update(zip(new, zip(at.tolist(), times.tolist())))
-        flat = [x for row in rows for x in map(self.known.__getitem__, row)]
-        both = np.array(flat, np.int64).reshape(-1, 2)
-        return both[:, 0], both[:, 1]
+        self.known.update(zip(new, range(len(self.id_of), len(self.id_of) + len(new))))
+        self.id_of, self.times_of = np.concatenate((self.id_of, at)), np.concatenate((self.times_of, times))
+        places = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(rows)), np.int64, sum(map(len, rows)))
+        return self.id_of[places], self.times_of[places]
 
     def pairs(self, ids: np.ndarray, lengths: list[int]) -> np.ndarray:
         """Mixed keys of (word before, word); the first word of a text follows the begin mark."""
