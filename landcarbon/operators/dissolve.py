@@ -18,7 +18,7 @@ from landcarbon.operators.grid import Grid, spatial_pairs
 from landcarbon.session import cut_lineage
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Component of every node that has an edge, as (node, component); the component is its smallest node.
 
     Edges are (a, b). Alternating "large star" and "small star" steps (Kiveris et al., 2014) shorten long chains
@@ -28,13 +28,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi != lo").distinct()
     )
     mark = _fingerprint(links)
-    for _ in range(max_rounds):
+    before = None
+    while mark != before:  # each round shortens some chain, so it comes to rest
         links = cut_lineage(_small_star(_large_star(links)))
         before, mark = mark, _fingerprint(links)
-        if mark == before:
-            break
-    else:
-        raise RuntimeError(f"components not settled after {max_rounds} rounds")
     roots = links.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     return links.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionAll(roots)
 

@@ -113,7 +113,8 @@ def cell_extents(df: DataFrame, size: float) -> DataFrame:
     """Cells that the features' envelopes cover and how wide the features are; geometry is not touched."""
     cells = covered_cells(df.select(*ENVELOPE), size)
     extent = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
-    return cells.select("_ix", "_iy", extent.alias("extent"))
+    # Of a wide feature, no more than the cell counts; else a few of them would keep a crowded cell whole.
+    return cells.select("_ix", "_iy", F.least(extent, F.lit(float(size))).alias("extent"))
 
 
 def in_cells(sides: dict[str, DataFrame], grid: Grid) -> tuple[list[DataFrame], DataFrame | None]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +43,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write a result to the shared checkpoint folder and read on from there, also after executors are lost."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write a result to the shared folder and read on from there, also after executors are lost.
+
+    As a Parquet table, so that a later step reads only the columns it needs.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

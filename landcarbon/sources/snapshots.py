@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 RUN_ID = "run_id"
 
@@ -22,27 +21,23 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_snapshot(df: DataFrame, base: str, name: str, moment: date | datetime) -> str:
-    """Write one run; a repeat of the same run replaces it, other runs stay."""
+    """Write one run, also one without rows; a repeat of the same run replaces it, other runs stay."""
     run = run_id_of(moment)
-    (
-        df.withColumn(RUN_ID, F.lit(run))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(RUN_ID)
-        .parquet(f"{base}/{name}")
-    )
+    df.write.mode("overwrite").parquet(f"{base}/{name}/{RUN_ID}={run}")
     return run
 
 
 def run_ids(spark: SparkSession, base: str, name: str) -> list[str]:
-    """Ids of the runs of a snapshot, from its folder names: no data file is opened."""
+    """Ids of the finished runs of a snapshot, from its folder names: no data file is opened."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{name}")
     fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     if not fs.exists(path):
         return []
     prefix = f"{RUN_ID}="
-    names = [status.getPath().getName() for status in fs.listStatus(path)]
-    return sorted(n[len(prefix) :] for n in names if n.startswith(prefix))
+    folders = [status.getPath() for status in fs.listStatus(path) if status.getPath().getName().startswith(prefix)]
+    # Spark leaves this mark when a write is complete.
+    done = [f for f in folders if fs.exists(f.suffix("/_SUCCESS"))]
+    return sorted(f.getName()[len(prefix) :] for f in done)
 
 
 def read_snapshot(spark: SparkSession, base: str, name: str, run: str) -> DataFrame:

@@ -326,6 +326,13 @@ ORACLE: dict[str, str] = {
              coalesce(NOT new_site AND centroid NOT IN (SELECT centroid FROM prev), false) AS changed FROM flagged""",
     "newest_snapshot": f"""WITH {ORD} SELECT fid, grant_id, CAST(financial_year_end AS INT) AS financial_year_end
       FROM ord WHERE financial_year_end >= 2000""",
+    "snapshot_runs": f"""WITH {ORD}, counted AS (
+        SELECT '20240904' AS run, count(*) AS n, sum(fid) AS fids FROM ord WHERE financial_year_end < 2000
+        UNION ALL SELECT '20251212_083000', count(*), sum(fid) FROM ord WHERE financial_year_end >= 2000)
+      SELECT run, n, CAST(fids AS BIGINT) AS fids FROM counted
+      UNION ALL SELECT '20260101', NULL, NULL UNION ALL SELECT 'newest', NULL, NULL""",
+    "recreated_table": f"""WITH {ORD} SELECT fid, grant_id, CAST(financial_year_end AS INT) AS financial_year_end
+      FROM ord WHERE financial_year_end >= 2000""",
     "grid_references": f"""WITH {ORD} SELECT fid, {", ".join(f"{grid_reference(X, Y, n)} AS ref_{n}" for n in (10, 6, 2))} FROM ord""",
     "box_area": f"WITH {ITEMS} SELECT (maxx - minx) * (maxy - miny) AS project_area, count(*) AS n FROM items GROUP BY ALL",
     "circle_radius": "SELECT round(sqrt(l_quantity * 10000 / 3.14), 6) AS radius, count(*) AS n FROM lineitem GROUP BY ALL",

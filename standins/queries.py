@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from landcarbon.operators.dissolve import dissolve, multi
 from landcarbon.operators.grid import Grid, spatial_exists, spatial_pairs
 from landcarbon.plans.reporting import report_by_grant, report_by_year
 from landcarbon.session import cut_lineage, shared_folder
-from landcarbon.sources.snapshots import latest_snapshot, publish_latest, write_snapshot
+from landcarbon.sources.snapshots import latest_snapshot, publish_latest, read_snapshot, run_ids, write_snapshot, write_table
 from standins.inputs import (
     draft_report,
     item_boxes,
@@ -397,6 +398,30 @@ def newest_snapshot(spark, d):
     return latest_snapshot(spark, base, "report")
 
 
+@query
+def snapshot_runs(spark, d):
+    """Rows of each run: one that is repeated, one by time of day, and a newest one without rows."""
+    base = f"{shared_folder(spark)}/snapshots-{uuid.uuid4().hex}"
+    df = orders(spark, d).select("fid", "grant_id", "financial_year_end")
+    write_snapshot(df, base, "report", date(2024, 9, 4))
+    write_snapshot(df.filter("financial_year_end < 2000"), base, "report", date(2024, 9, 4))
+    write_snapshot(df.filter("financial_year_end >= 2000"), base, "report", datetime(2025, 12, 12, 8, 30))
+    write_snapshot(df.filter("financial_year_end < 0"), base, "report", date(2026, 1, 1))
+    runs = [read_snapshot(spark, base, "report", r).withColumn("run", F.lit(r)) for r in run_ids(spark, base, "report")]
+    newest = latest_snapshot(spark, base, "report").withColumn("run", F.lit("newest"))
+    counted = reduce(DataFrame.unionByName, [*runs, newest]).groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.sum("fid").alias("fids"))
+    known = spark.createDataFrame([(r,) for r in [*run_ids(spark, base, "report"), "newest"]], "run string")
+    return known.join(counted, "run", "left")
+
+
+@query
+def recreated_table(spark, d):
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df = orders(spark, d).select("fid", "grant_id", "financial_year_end")
+    write_table(df.filter("financial_year_end < 2000"), path)
+    return write_table(df.filter("financial_year_end >= 2000"), path)
+
+
 # --- geometry -------------------------------------------------------------------------------------------------
 
 

@@ -306,3 +306,12 @@ def test_multi_puts_parts_together(spark, field):
     assert {r.t for r in whole.select(geo.geometry_type("geom").alias("t")).collect()} == {"MultiPolygon"}
     assert geo.explode_parts(whole).count() == parts.count()
     assert set(ENVELOPE) <= set(geo.with_envelope(whole).columns)
+
+
+def test_wide_features_do_not_keep_a_crowded_cell_whole(spark):
+    small = [(float(i % 20) * 5, float(i // 20 % 20) * 5, float(i % 20) * 5 + 5, float(i // 20 % 20) * 5 + 5) for i in range(2000)]
+    wide = [(0.0, 0.0, 1_000.0, 1_000.0)] * 60
+    df = spark.createDataFrame(small + wide, "minx double, miny double, maxx double, maxy double")
+    grid = Grid(120.0, 1_000_000, 50)
+    hot = crowded_cells(cell_extents(df, grid.size), cell_extents(df, grid.size), grid)
+    assert hot is not None and {(r._ix, r._iy) for r in hot.collect()} == {(0, 0)}

@@ -264,6 +264,17 @@ def test_snapshots(spark, tmp_path):
     assert snapshots.write_table(df, f"{base}/t").count() == snapshots.write_table(df, f"{base}/t").count() == 3
 
 
+def test_a_run_without_rows_is_a_run(spark, tmp_path):
+    base, df = str(tmp_path), spark.range(3)
+    snapshots.write_snapshot(df, base, "report", date(2024, 9, 4))
+    snapshots.write_snapshot(df.filter("id < 0"), base, "report", date(2025, 9, 4))
+    assert snapshots.latest_snapshot(spark, base, "report").count() == 0
+    snapshots.write_snapshot(df.filter("id < 0"), base, "report", date(2024, 9, 4))
+    assert snapshots.read_snapshot(spark, base, "report", "20240904").count() == 0
+    (tmp_path / "report" / "run_id=20260101").mkdir()  # a write that did not end
+    assert snapshots.run_ids(spark, base, "report") == ["20240904", "20250904"]
+
+
 def test_report_order(spark):
     df = frame(spark, [("b", "y"), ("a", "z"), ("a", "x")], "grant_id string, emission_factor_pre string")
     assert [tuple(r) for r in in_report_order(df).collect()] == [("a", "x"), ("a", "z"), ("b", "y")]
