@@ -166,7 +166,8 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, id_col: str =
     """One document of each class, in the columns of ``docs``: the one with the smallest id."""
     found = staged(classes(docs, similarity, id_col, text_col))
     kept = found.filter("doc_id <=> class_id").groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_n"))
-    stays = docs.join(kept.select("_kept"), docs[id_col].eqNullSafe(F.col("_kept")), "left_semi")
+    # Ids grow with the documents, so they are never broadcast, however few they are in a small run.
+    stays = docs.join(kept.select("_kept").hint("shuffle_merge"), docs[id_col].eqNullSafe(F.col("_kept")), "left_semi")
     if kept.filter("_n > 1").isEmpty():
         return stays
     return stays.dropDuplicates([id_col, text_col])
