@@ -11,9 +11,6 @@ from landcarbon.operators.allocation import to_report_classes
 MEASURES = ["pre_emissions_break1", "pre_emissions_break2", "post_emissions_break1", "post_emissions_break2"]
 DIFFERENCES = ["diff_break1", "diff_break2"]
 
-# The factor table has a few rows; up to this many it is copied to every executor.
-BROADCAST_ROWS = 10_000
-
 
 def rollup_m2(df: DataFrame, key: str, legacy_bog: bool = False) -> DataFrame:
     """Report classes summed per key, in square metres, from an allocated wide report."""
@@ -46,28 +43,21 @@ def unpivot_classes(ha: DataFrame, key: str) -> DataFrame:
     return ha.selectExpr(key, f"stack({len(HECTARE_LABELS)}, {pairs}) as (category, area)")
 
 
-def _small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether a lookup table is small enough to copy to every executor; counted, not assumed."""
-    return df.limit(limit + 1).count() <= limit
-
-
 def factor_join(areas: DataFrame, mapping: DataFrame, factors: DataFrame) -> DataFrame:
     """Areas with every matching pair of factors and the emissions they give.
 
     A condition name can have several factor rows. Each of them takes part, so a category with n rows before and
-    m rows after contributes n * m times; ``factor_duplicates`` lists such categories.
+    m rows after contributes n * m times; ``factor_duplicates`` lists such categories. Whether the lookup tables are
+    broadcast is left to Spark, which knows their size when it runs.
     """
     pairs = mapping.select("category", "emission_factor_pre", "emission_factor_post")
-    if _small(mapping):
-        pairs = F.broadcast(pairs)
     joined = areas.join(pairs, "category")
-    copied = _small(factors)
     for side in ("pre", "post"):
         values = factors.select(
             F.col("peat_condition").alias(f"emission_factor_{side}"),
             *(F.col(f"total_{b}").cast("decimal(12,4)").alias(f"{side}_{b}") for b in ("break1", "break2")),
         )
-        joined = joined.join(F.broadcast(values) if copied else values, f"emission_factor_{side}")
+        joined = joined.join(values, f"emission_factor_{side}")
     return joined.withColumns({m: F.col("area") * F.col(m.replace("_emissions", "")) for m in MEASURES})
 
 
