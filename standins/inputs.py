@@ -14,8 +14,10 @@ from pyspark.sql import types as T
 from landcarbon.functions import geo
 from landcarbon.functions.categories import CATEGORIES, CONDITION_COLUMNS, HECTARE_LABELS
 from landcarbon.functions.geo import ENVELOPE
+from landcarbon.operators.attributes import DRAINED_BY_TECHNIQUES
 from landcarbon.operators.categories import category_label, pivot_categories, with_difference
 from landcarbon.operators.points import condition_shares
+from landcarbon.plans.final_reports import Sources
 
 # A kind of event stands for the condition of a survey point; "error" stands for an unknown one.
 CONDITION_OF_EVENT = {
@@ -195,3 +197,109 @@ def survey_points(spark: SparkSession, folder: str) -> DataFrame:
     x = F.col("user_id") * 130 + F.col("event_id") % 260 / 2
     y = F.col("event_id") * 7 % 1000
     return df.select(kinds[F.col("event_type")].alias("condition"), geo.point(x, y).alias("geom"))
+
+
+def rectangle(df: DataFrame, minx: Column, miny: Column, maxx: Column, maxy: Column) -> DataFrame:
+    geo.register(df.sparkSession)
+    return df.withColumn("geom", geo.box(*(c.cast("double") for c in (minx, miny, maxx, maxy))))
+
+
+def plots(spark: SparkSession, folder: str) -> DataFrame:
+    """A plot of 250 m per order, apart from all others: (fid, status, priority, year, x, y, w)."""
+    df = table(spark, folder, "orders")
+    return df.select(
+        F.col("o_orderkey").alias("fid"),
+        F.col("o_orderstatus").alias("status"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
+        F.year("o_orderdate").alias("year"),
+        (F.col("o_orderkey") % 1000 * 250).alias("x"),
+        F.expr("o_orderkey div 1000 * 250").alias("y"),
+        (F.floor(F.col("o_totalprice") / 10000).cast("long") * 2 + 6).alias("w"),
+    )
+
+
+def plot_squares(spark: SparkSession, folder: str) -> DataFrame:
+    """Squares of a plot in a row, of one grant each: ``a`` alone, ``a`` and a later ``c`` over its half, or ``a``, ``b``
+    of the same year over its half, and a later ``c`` over half of ``b``."""
+    square = lambda name, at, later: F.struct(F.lit(name).alias("name"), at.alias("at"), F.lit(later).alias("later"))
+    none, half, whole = F.lit(0).cast("long"), F.expr("w div 2"), F.col("w")
+    rows = (
+        F.when(F.col("status") == "F", F.array(square("a", none, 0), square("b", half, 0), square("c", whole, 1)))
+        .when(F.col("status") == "O", F.array(square("a", none, 0), square("c", half, 1)))
+        .otherwise(F.array(square("a", none, 0)))
+    )
+    df = plots(spark, folder).withColumn("s", F.explode(rows))
+    df = df.withColumns({"x": F.col("x") + F.col("s.at"), "grant_id": F.concat(F.col("fid").cast("string"), "s.name")})
+    df = df.withColumn("financial_year_end", (F.col("year") + F.col("s.later")).cast("int"))
+    df = rectangle(df, F.col("x"), F.col("y"), F.col("x") + F.col("w"), F.col("y") + F.col("w"))
+    return df.select("fid", "status", "priority", "year", F.col("s.name").alias("name"), "grant_id", "financial_year_end", "geom")
+
+
+def plot_map(spark: SparkSession, folder: str) -> DataFrame:
+    """Two strips of land cover on four of five plots: the first half of square ``a``, and the rest of the row."""
+    df = plots(spark, folder).filter("fid % 5 > 0")
+    half, end = F.col("x") + F.expr("w div 2"), F.col("x") + F.col("w") * 2
+    sides = (("fid % 30", F.col("x"), half), ("(fid + 7) % 30", half, end))
+    strips = [
+        rectangle(df.withColumn("idx", F.expr(f"cast({i} as int)")), a, F.col("y"), b, F.col("y") + F.col("w"))
+        for i, a, b in sides
+    ]
+    return strips[0].unionByName(strips[1]).select(*label_parts("idx"), "geom")
+
+
+def plot_points(spark: SparkSession, folder: str) -> DataFrame:
+    """Two survey points in square ``a`` of every other plot."""
+    df = plots(spark, folder).filter("fid % 2 = 0")
+    kinds = F.array(F.struct(F.lit("Modified"), F.lit(1)), F.struct(F.lit("Drained: Hagg/gully"), F.lit(2)))
+    df = df.select("x", "y", F.inline(kinds).alias("condition", "at"))
+    return df.select("condition", geo.point(F.col("x") + F.col("at"), F.col("y") + 1).alias("geom"))
+
+
+def plot_sources(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, DataFrame], Sources]:
+    """Footprints, feature layers and attribute tables of the final report, on the plots.
+
+    Squares come from the footprints, from sub-sites (``c``) or from projects (``a`` where it is alone); each of the
+    less preferred sources also has shapes elsewhere that must not be taken.
+    """
+    squares = plot_squares(spark, folder)
+    alone = F.col("status") == "P"
+    shape = ["grant_id", "geom"]
+    elsewhere = lambda df: rectangle(df, F.lit(-900), F.lit(-900), F.lit(-800), F.lit(-800)).select(*shape)
+    c, b = squares.filter("name = 'c'"), squares.filter("name = 'b'")
+    footprints = squares.filter((F.col("name") != "c") & ~alone).select(*shape)
+    subsites = c.select(*shape).unionByName(elsewhere(b))
+    projects = squares.filter(alone).select(*shape).unionByName(elsewhere(c))
+    years = squares.select("grant_id", "financial_year_end")
+    reported = years.unionByName(years.withColumn("financial_year_end", F.col("financial_year_end") - 2))
+
+    a = squares.filter("name = 'a'")
+    lone = plots(spark, folder).filter("status = 'P'")
+    d = lone.select(
+        F.concat(F.col("fid").cast("string"), F.lit("d")).alias("grant_reference"),
+        F.when(F.col("priority") <= 3, "Peat restoration").otherwise("feasibility").alias("project_type"),
+        F.lit("Completed 2015").alias("project_status"),
+        (F.col("fid") % 5 / 100).alias("ha_reported_total"),
+        F.lit("grouse").alias("current_use_of_site"),
+        F.lit("Yes").alias("peat_condition_data"),
+        F.lit(None).cast("string").alias("restoration_activities"),
+        geo.point(F.col("x") + 60, F.col("y") + 160).alias("geom"),
+    )
+    named = F.concat(F.substring_index("grant_reference", "d", 1), F.lit("a"))
+    none = F.lit(None).cast("string")
+    known = d.withColumns({"grant_reference": named, "current_use_of_site": none, "peat_condition_data": none})
+    outline = a.select(
+        "grant_id",
+        F.when(F.col("fid") % 4 == 0, "5,4").otherwise("grazing").alias("current_use"),
+        F.when(F.col("priority") == 1, "Yes").when(F.col("priority") == 2, "Old forest").alias("peatland_condition"),
+        none.alias("notes"),
+    )
+    names = [a.filter("priority <> 5").withColumn("project_name", F.concat(F.lit("P"), "priority"))]
+    names += [b.filter("fid % 2 = 0").withColumn("project_name", F.concat(F.lit("B"), "priority"))]
+    grants = names[0].unionByName(names[1]).select("grant_id", "project_name")
+
+    columns = {c: none for c in ("restoration_technique", "techniques", "technique", "notes")}
+    no_rows = a.filter("false").withColumns(columns)
+    layers = {n: no_rows for n in ("restoration_points", "restoration_areas", "forest_to_bog")}
+    technique = F.when(F.col("fid") % 3 == 0, DRAINED_BY_TECHNIQUES[0]).when(F.col("fid") % 3 == 1, "tree felling")
+    layers["restoration_lines"] = a.withColumns({**columns, "restoration_technique": technique}).filter("restoration_technique is not null")
+    return footprints, layers, Sources(subsites, projects, reported, d.unionByName(known), outline, grants, no_rows)

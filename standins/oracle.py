@@ -13,6 +13,7 @@ from landcarbon.functions.categories import (
     PROJECT_AREA,
 )
 from landcarbon.functions.factors import TOTAL_FACTORS
+from landcarbon.operators.attributes import DRAINED_BY_TECHNIQUES, GUESSED_FORESTED, NOT_PROVIDED, WARNING
 from standins.inputs import CONDITION_OF_EVENT, MAPPING
 
 CLASS_COLUMNS = [c.column for c in CLASSES]
@@ -226,6 +227,17 @@ def grid_reference(x: str, y: str, digits: int) -> str:
     return f"CASE WHEN {inside} THEN substr({letters}, CAST({first} + 1 AS INT), 1) || substr({letters}, CAST({second} + 1 AS INT), 1){figures} END"
 
 
+# What is left of a row of squares: x from and to, counted from the plot's corner. On plots without a map all squares stay.
+PLOTS = """plots AS (
+  SELECT o_orderkey AS fid, o_orderstatus AS status, CAST(o_orderpriority[1] AS INT) AS priority, year(o_orderdate) AS year,
+         o_orderkey % 1000 * 250 AS x, o_orderkey // 1000 * 250 AS y, CAST(floor(o_totalprice / 10000) AS BIGINT) * 2 + 6 AS w
+  FROM orders),
+pieces AS (
+  SELECT *, CASE WHEN status = 'F' THEN fid || 'a,' || fid || 'b' ELSE fid || 'a' END AS grant_id,
+         0 AS x0, CASE WHEN status = 'O' THEN w // 2 ELSE w END AS x1, 0 AS later FROM plots
+  UNION ALL SELECT *, fid || 'c', CASE WHEN status = 'F' THEN w ELSE w // 2 END,
+         CASE WHEN status = 'F' THEN w ELSE w // 2 END + w, 1 FROM plots WHERE status IN ('F', 'O'))"""
+
 POLYGON_32 = "16 * {r} * {r} * sin(2 * pi() / 32)"
 X, Y = "(o_custkey * 397 + 1000)", "(fid * 83 + 2000)"
 USE_CODES = listed(["5,4", "x 5,4", "1,3,4", "3,4,1 y", "4", "1,4", "1,2", "14", "5,4,1,4"])
@@ -399,4 +411,81 @@ ORACLE: dict[str, str] = {
       WHERE fid NOT IN (SELECT fid FROM flagged)""",
     "footprint_by_grant": f"""WITH {CELLS} SELECT grant_id, CAST(financial_year_end AS VARCHAR) AS site_id, CAST(count(DISTINCT (x, y)) AS DOUBLE) AS area
       FROM cells GROUP BY grant_id, financial_year_end""",
+    "resolved_plots": f"""WITH {PLOTS} SELECT grant_id, count(*) AS n, CAST(sum((x1 - x0) * w) AS DOUBLE) AS area
+      FROM pieces GROUP BY grant_id""",
 }
+
+
+def ground(areas: str) -> str:
+    """Sum per category from rows (category, area)."""
+    return ", ".join(f"coalesce(sum({areas}) FILTER (WHERE category = {text(k)}), 0) AS {c}" for k, c in CATEGORIES.items())
+
+
+# Boxes of one grant that are equal are one row; boxes below 33 square metres are left out.
+APPLICATION = f"""{CELLS}, {TILES}, {TOUCHED}, {POINTS}, met AS (SELECT DISTINCT fid FROM touched),
+work AS (SELECT grant_id, minx, miny, w, min(fid) AS fid FROM boxes JOIN met USING (fid) WHERE w * w >= 33 GROUP BY ALL),
+clipped AS (SELECT fid, category, count(*) AS area FROM cells JOIN tile_map ON p = x // 10 AND s = y // 10 GROUP BY ALL),
+mapped AS (SELECT fid, {ground('area')} FROM work LEFT JOIN clipped USING (fid) GROUP BY fid),
+inside AS (SELECT fid, condition FROM work JOIN points ON x > minx AND x < minx + w AND y > miny AND y < miny + w),
+shared AS (SELECT fid, {", ".join(
+    f"count(*) FILTER (WHERE condition = {text(k)}) * 100.0 / count(*) AS {c}" for k, c in CONDITIONS.items())} FROM inside GROUP BY fid),
+years AS (SELECT grant_id, min(financial_year_end) AS financial_year_end FROM boxes GROUP BY grant_id),
+wide AS (
+  SELECT w.grant_id, w.minx, w.miny, w.minx + w AS maxx, w.miny + w AS maxy, CAST(w * w AS DECIMAL(20,2)) AS project_area,
+         {", ".join(CATEGORY_COLUMNS)}, CAST({" + ".join(CATEGORY_COLUMNS)} - w * w AS DECIMAL(20,2)) AS difference,
+         CASE CAST(w.grant_id AS BIGINT) % 3 WHEN 0 THEN 'Old Forest' WHEN 1 THEN 'Moor' END AS project_name,
+         CAST(financial_year_end AS INT) AS financial_year_end, CAST(w.grant_id AS BIGINT) % 3 = 0 AS forestry,
+         '2025-12-12' AS version, {", ".join(f"coalesce({c}, 0) AS {c}" for c in CONDITION_COLUMNS)},
+         CAST(floor(minx + w / 2) AS BIGINT) AS cx, CAST(floor(miny + w / 2) AS BIGINT) AS cy
+  FROM work w JOIN mapped USING (fid) JOIN years USING (grant_id) LEFT JOIN shared USING (fid))"""
+ORACLE["application_report"] = f"""WITH {APPLICATION}
+  SELECT grant_id, {doubles(['minx', 'miny', 'maxx', 'maxy', 'project_area', 'difference', *CATEGORY_COLUMNS])},
+         {", ".join(f"round({c}, 6) AS {c}" for c in CONDITION_COLUMNS)},
+         project_name, financial_year_end, forestry, version, {grid_reference('cx', 'cy', 10)} AS centroid
+  FROM wide"""
+PUBLISHED = f"""{APPLICATION}, {allocated('wide')}, classes AS (SELECT grant_id, {class_sums()} FROM alloc),
+m2 AS (SELECT grant_id, {", ".join(f"sum({c}) AS {c}" for c in ALL_CLASSES)} FROM classes GROUP BY grant_id)"""
+ORACLE["published_savings"] = f"WITH {PUBLISHED}, {emissions('grant_id')} {savings('grant_id')}"
+
+# Attributes of a row follow from the squares in it: only square a has uses, conditions and techniques.
+_SHARE = {c: 50 for k, c in CONDITIONS.items() if k in ("Modified", "Drained: Hagg/gully")}
+FINAL = f"""{PLOTS}, shapes AS (
+  SELECT * EXCLUDE (later), year + later AS fy, true AS mapped, grant_id LIKE '%a%' AS has_a, grant_id LIKE '%b' AS has_b,
+         CAST((x1 - x0) * w AS DOUBLE) AS size FROM pieces WHERE fid % 5 > 0
+  UNION ALL SELECT *, 0, w, year, false, true, false, w * w FROM (SELECT *, fid || 'a' FROM plots WHERE fid % 5 = 0)
+  UNION ALL SELECT *, w // 2, w // 2 + w, year, false, false, true, w * w FROM (SELECT *, fid || 'b' FROM plots WHERE fid % 5 = 0 AND status = 'F')
+  UNION ALL SELECT *, w // 2, w // 2 + w, year + 1, false, false, false, w * w FROM (SELECT *, fid || 'c' FROM plots WHERE fid % 5 = 0 AND status = 'O')
+  UNION ALL SELECT *, w, w * 2, year + 1, false, false, false, w * w FROM (SELECT *, fid || 'c' FROM plots WHERE fid % 5 = 0 AND status = 'F')
+  UNION ALL SELECT *, 0, 0, NULL, false, false, false, 16 * (fid % 5 * 100 / 3.14) * sin(2 * pi() / 32)
+    FROM (SELECT *, fid || 'd' FROM plots WHERE fid % 5 > 0 AND status = 'P' AND priority <= 3)),
+strips AS (
+  SELECT *, CASE WHEN mapped THEN greatest(least(x1, w // 2) - x0, 0) * w END AS first_strip,
+         CASE WHEN mapped THEN greatest(x1 - greatest(x0, w // 2), 0) * w END AS second_strip FROM shapes WHERE round(size, 2) >= 33),
+areas AS (SELECT *, {", ".join(
+    f"CASE WHEN mapped THEN CASE {i} WHEN fid % 30 THEN first_strip WHEN (fid + 7) % 30 THEN second_strip ELSE 0 END END AS {c}"
+    for i, c in enumerate(CATEGORIES.values()))} FROM strips),
+told AS (
+  SELECT *, x1 = 0 AS circle, nullif(concat_ws(',', CASE WHEN has_b AND fid % 2 = 0 THEN 'B' || priority END,
+                           CASE WHEN has_a AND priority <> 5 THEN 'P' || priority END), '') AS project_name,
+         CASE WHEN x1 = 0 THEN 'grouse' WHEN has_a AND fid % 4 = 0 THEN 'Forestry' WHEN has_a THEN 'grazing' END AS pa_current_use,
+         CASE WHEN x1 = 0 OR has_a AND priority = 1 THEN 'Yes' WHEN has_a AND priority = 2 THEN 'Old forest' END AS cond,
+         CASE WHEN has_a AND fid % 3 = 0 THEN {text(DRAINED_BY_TECHNIQUES[0])} WHEN has_a AND fid % 3 = 1 THEN 'tree felling' END AS techniques
+  FROM areas),
+signs AS (
+  SELECT *, coalesce(cond = 'Old forest', false) OR coalesce(pa_current_use = 'Forestry', false)
+            OR coalesce(techniques = 'tree felling', false) AS forestry,
+         CAST(floor(CASE WHEN circle THEN x + 60 ELSE x + (x0 + x1) / 2 END) AS BIGINT) AS cx,
+         CAST(floor(CASE WHEN circle THEN y + 160 ELSE y + w / 2 END) AS BIGINT) AS cy
+  FROM told)"""
+ORACLE["final_report"] = f"""WITH {FINAL}
+  SELECT grant_id, round(size, 2) AS project_area, {doubles(CATEGORY_COLUMNS)},
+         CAST(CAST({" + ".join(f"coalesce({c}, 0)" for c in CATEGORY_COLUMNS)} - round(size, 2) AS DECIMAL(20,2)) AS DOUBLE) AS difference,
+         project_name, pa_current_use, techniques, forestry, CAST(fy AS DOUBLE) AS financial_year_end, '2025-12-12' AS version,
+         CASE WHEN techniques = {text(DRAINED_BY_TECHNIQUES[0])} THEN {text(DRAINED_BY_TECHNIQUES[1])}
+              WHEN cond = 'Yes' THEN {text(NOT_PROVIDED[1])}
+              WHEN cond IS NULL AND forestry THEN {text(GUESSED_FORESTED)} ELSE cond END AS pa_condition_category,
+         {", ".join(f"CAST(CASE WHEN has_a AND fid % 2 = 0 THEN {_SHARE.get(c, 0)} ELSE 0 END AS DOUBLE) AS {c}" for c in CONDITION_COLUMNS)},
+         CASE WHEN circle THEN {grid_reference('cx', 'cy', 6)} ELSE {grid_reference('cx', 'cy', 10)} END AS centroid,
+         CASE WHEN circle OR (status = 'P' AND priority <= 3 AND fid % 5 > 0) THEN {text(WARNING)} END AS warning,
+         CAST(NOT (grant_id = fid || 'a' AND fid % 3 = 0) AS VARCHAR) AS new_site, grant_id = fid || 'a' AND fid % 3 = 0 AS changed
+  FROM signs"""

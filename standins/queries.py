@@ -20,6 +20,8 @@ from landcarbon.operators.categories import pivot_categories
 from landcarbon.operators.changes import track_changes
 from landcarbon.operators.dissolve import dissolve, multi
 from landcarbon.operators.grid import Grid, spatial_exists, spatial_pairs
+from landcarbon.plans import applications, final_reports
+from landcarbon.plans.publish import publish_report, publish_rollup
 from landcarbon.plans.reporting import report_by_grant, report_by_year
 from landcarbon.session import cut_lineage, shared_folder
 from landcarbon.sources.snapshots import latest_snapshot, publish_latest, read_snapshot, run_ids, write_snapshot, write_table
@@ -31,6 +33,10 @@ from standins.inputs import (
     order_boxes,
     orders,
     plain,
+    plot_map,
+    plot_points,
+    plot_sources,
+    plot_squares,
     shares_by_user,
     survey_points,
     table,
@@ -590,3 +596,54 @@ def resolved_overlaps(spark, d):
     work = geo.with_area(overlap.resolve_overlaps(polygons, GRID))
     return work.groupBy("grant_id").agg(F.count(F.lit(1)).alias("n"), F.sum("project_area").alias("area"))
 
+
+@query
+def resolved_plots(spark, d):
+    """The three steps against overlaps on rows of squares, where what is left of each is known."""
+    polygons = cut_lineage(plot_squares(spark, d).select("grant_id", "financial_year_end", "geom"))
+    work = geo.with_area(overlap.resolve_overlaps(polygons, GRID))
+    return work.groupBy("grant_id").agg(F.count(F.lit(1)).alias("n"), F.sum("project_area").alias("area"))
+
+
+# --- whole jobs -----------------------------------------------------------------------------------------------
+
+RUN_DATE = date(2025, 12, 12)
+
+
+def _application(spark, d):
+    """Application report of all order boxes; a third of the grants are forest projects, some have no name."""
+    name = F.when(F.col("grant_id") % 3 == 0, "Old Forest").when(F.col("grant_id") % 3 == 1, "Moor")
+    grants = orders(spark, d).groupBy("grant_id").agg(F.min("financial_year_end").alias("financial_year_end"))
+    grants = grants.withColumn("project_name", name)
+    boxes = order_boxes(spark, d).select("grant_id", "geom")
+    return applications.report(boxes, tile_map(spark, d), survey_points(spark, d), grants, GRID, RUN_DATE)
+
+
+@query
+def application_report(spark, d):
+    df = geo.with_envelope(_application(spark, d)).drop("geom").withColumn("version", F.col("version").cast("string"))
+    shares = {c: F.col(c).cast("double") for c in CONDITION_COLUMNS}
+    return df.withColumns({c: F.col(c).cast("double") for c in CATEGORY_COLUMNS} | shares)
+
+
+@query
+def published_savings(spark, d):
+    """The application report published as a snapshot, rolled up from there and published table by table."""
+    base = f"{shared_folder(spark)}/published-{uuid.uuid4().hex}"
+    publish_report(_application(spark, d), base, "applications", RUN_DATE)
+    moment = datetime(2025, 12, 12, 8, 30)
+    return publish_rollup(spark, base, "applications", mapping(spark), total_factors(spark), moment)
+
+
+@query
+def final_report(spark, d):
+    """The final-report job from all its sources to change flags, on the plots."""
+    footprints, layers, sources = plot_sources(spark, d)
+    previous = plot_squares(spark, d).filter("name = 'a' and fid % 3 = 0").select("grant_id", F.lit("none").alias("centroid"))
+    where = (plot_map(spark, d), plot_points(spark, d), GRID, RUN_DATE)
+    df = final_reports.report(footprints, layers, sources, *where, previous)
+    numbers = {c: F.col(c).cast("double") for c in [*CATEGORY_COLUMNS, *CONDITION_COLUMNS, "financial_year_end"]}
+    # The point inside a circle is known to 100 m only.
+    rough = F.concat(F.substring("centroid", 1, 5), F.substring("centroid", 8, 3))
+    df = df.withColumn("centroid", F.when(F.col("grant_id").endswith("d"), rough).otherwise(F.col("centroid")))
+    return df.withColumns(numbers | {c: F.col(c).cast("string") for c in ("version", "new_site")}).drop("geom")
