@@ -303,3 +303,42 @@ def plot_sources(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str,
     technique = F.when(F.col("fid") % 3 == 0, DRAINED_BY_TECHNIQUES[0]).when(F.col("fid") % 3 == 1, "tree felling")
     layers["restoration_lines"] = a.withColumns({**columns, "restoration_technique": technique}).filter("restoration_technique is not null")
     return footprints, layers, Sources(subsites, projects, reported, d.unionByName(known), outline, grants, no_rows)
+
+
+def plot_layers(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The five restoration layers on the plots, one grant per plot and one site per order status.
+
+    Features of one kind overlap along a row, and the rows of a plot's layers are a kilometre apart.
+    """
+    df = plots(spark, folder).withColumns({"grant_id": F.col("fid").cast("string"), "site_id": F.col("status")})
+    half, none = F.expr("w div 2"), F.lit(None).cast("string")
+
+    def line(x0: Column, x1: Column) -> Column:
+        return geo.from_text(F.format_string("LINESTRING (%d %d, %d %d)", x0, F.col("y"), x1, F.col("y")))
+
+    def squares(km: int, *columns: Column) -> DataFrame:
+        y = F.col("y") + km * 1000
+        parts = [rectangle(df, F.col("x") + at, y, F.col("x") + at + F.col("w"), y + F.col("w")) for at in (F.lit(0), half)]
+        return parts[0].unionByName(parts[1]).select("grant_id", "site_id", *columns, "geom")
+
+    geo.register(spark)
+    x, w = F.col("x"), F.col("w")
+    # Tracks and lines of an unknown kind are left out, so they may lie anywhere.
+    lines = F.array(
+        F.struct(F.lit("dams").alias("restoration_technique"), line(x, x + w).alias("geom")),
+        F.struct(F.lit("bunds").alias("restoration_technique"), line(x + half, x + w * 2).alias("geom")),
+        F.struct(F.lit("Access track").alias("restoration_technique"), line(x, x + w * 9).alias("geom")),
+        F.struct(none.alias("restoration_technique"), line(x, x + w * 8).alias("geom")),
+    )
+    # One point on the line, one apart, one without a place.
+    places = F.array(geo.point(x + w, F.col("y")), geo.point(x, F.col("y") + 1000), F.lit(None).cast("binary"))
+    technique = F.when(F.col("fid") % 3 == 0, "scrub removal").when(F.col("fid") % 3 == 1, "Scrub removal")
+    return {
+        "restoration_lines": df.select("grant_id", "site_id", none.alias("notes"), F.inline(lines)),
+        "restoration_points": df.select(
+            "grant_id", "site_id", none.alias("restoration_technique"), none.alias("notes"), F.explode(places).alias("geom")
+        ),
+        "restoration_areas": squares(2, technique.alias("restoration_technique"), none.alias("notes")),
+        "bare_peat_stabilisation": squares(3),
+        "forest_to_bog": squares(4, none.alias("techniques"), none.alias("notes")),
+    }

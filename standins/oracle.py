@@ -489,3 +489,35 @@ ORACLE["final_report"] = f"""WITH {FINAL}
          CASE WHEN circle OR (status = 'P' AND priority <= 3 AND fid % 5 > 0) THEN {text(WARNING)} END AS warning,
          CAST(NOT (grant_id = fid || 'a' AND fid % 3 = 0) AS VARCHAR) AS new_site, grant_id = fid || 'a' AND fid % 3 = 0 AS changed
   FROM signs"""
+
+
+# Widening all shapes of a row by r is the same as widening their union by r.
+def row_area(length: str, height: str, r: str) -> str:
+    return f"({length}) * ({height}) + 2 * {r} * (({length}) + ({height})) + {POLYGON_32.format(r=r)}"
+
+
+def footprint_area(r: str, bare: bool) -> str:
+    line, square = row_area("2 * w", "0", r), row_area("w + w // 2", "w", r)
+    areas = f"CASE WHEN fid % 3 = 0 THEN (w + w // 2) * w ELSE {square} END"
+    total = f"{line} + {POLYGON_32.format(r=r)} + {areas} + (w + w // 2) * w"
+    return f"{total} + {square}" if bare else total
+
+
+ORACLE["application_footprint"] = f"""WITH {PLOTS} SELECT CAST(fid AS VARCHAR) AS grant_id, status AS site_id,
+    CAST(5 AS BIGINT) AS n, round({footprint_area('30', bare=True)}, 2) AS area FROM plots WHERE year > 1998"""
+ORACLE["final_footprint"] = f"""WITH {PLOTS} SELECT CAST(fid AS VARCHAR) AS grant_id, status AS site_id,
+    CAST(4 AS BIGINT) AS n, round({footprint_area('50', bare=False)}, 2) AS area FROM plots
+  UNION ALL SELECT CAST(fid AS VARCHAR), 'old', 1, w * w FROM plots"""
+ORACLE["savings_from_files"] = f"SELECT *, 't CO2e ha-1 yr-1' AS unit FROM ({ORACLE['savings_by_grant']})"
+ORACLE["source_tables"] = f"""WITH {BOXES} SELECT 'map' AS source, what, count(*) AS n, CAST(count(*) * 100 AS DOUBLE) AS area
+    FROM (SELECT lc_level3 AS what FROM (SELECT {label_columns('(l_partkey + l_suppkey) % 30')}
+      FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem))) GROUP BY what
+  UNION ALL SELECT 'points', {EVENT_CONDITION} AS condition, count(*), 0 FROM events GROUP BY condition
+  UNION ALL SELECT 'projects', CAST(fid AS VARCHAR)[1] AS first, count(*), sum(w * w) FROM boxes GROUP BY first"""
+ORACLE["uses_and_conditions"] = f"""WITH {PLOTS} SELECT DISTINCT * FROM (
+    SELECT fid || 'a' AS grant_id, 'use' AS kind, CASE WHEN fid % 4 = 0 THEN '5,4' ELSE 'grazing' END AS value FROM plots
+    UNION ALL SELECT fid || 'a', 'condition', CASE priority WHEN 1 THEN 'Yes' WHEN 2 THEN 'Old forest' END FROM plots
+    UNION ALL SELECT fid || 'a', unnest(['use', 'condition']), NULL FROM plots WHERE status = 'P'
+    UNION ALL SELECT fid || 'd', unnest(['use', 'condition']), unnest(['grouse', 'Yes']) FROM plots WHERE status = 'P')"""
+ORACLE["equal_shapes"] = f"""WITH {PLOTS} SELECT CAST(fid AS VARCHAR) AS grant_id, CAST(2 AS BIGINT) AS n,
+    CAST(w * w + w * (w + 1) AS DOUBLE) AS area FROM plots"""

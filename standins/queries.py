@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from landcarbon.functions import geo
 from landcarbon.functions.categories import CATEGORY_COLUMNS, CONDITION_COLUMNS
-from landcarbon.functions.factors import total_factors
+from landcarbon.functions.factors import TOTAL_FACTORS, total_factors
 from landcarbon.functions.geo import ENVELOPE
 from landcarbon.functions.text import clean_current_use, grid_reference, names_forestry_technique, text_or_notes
 from landcarbon.operators import allocation, attributes, emissions, footprint, keys, overlap, overlay, points
@@ -24,6 +24,7 @@ from landcarbon.plans import applications, final_reports
 from landcarbon.plans.publish import publish_report, publish_rollup
 from landcarbon.plans.reporting import report_by_grant, report_by_year
 from landcarbon.session import cut_lineage, shared_folder
+from landcarbon.sources import tables
 from landcarbon.sources.snapshots import latest_snapshot, publish_latest, read_snapshot, run_ids, write_snapshot, write_table
 from standins.inputs import (
     draft_report,
@@ -33,10 +34,13 @@ from standins.inputs import (
     order_boxes,
     orders,
     plain,
+    plot_layers,
     plot_map,
     plot_points,
     plot_sources,
     plot_squares,
+    plots,
+    rectangle,
     shares_by_user,
     survey_points,
     table,
@@ -647,3 +651,93 @@ def final_report(spark, d):
     rough = F.concat(F.substring("centroid", 1, 5), F.substring("centroid", 8, 3))
     df = df.withColumn("centroid", F.when(F.col("grant_id").endswith("d"), rough).otherwise(F.col("centroid")))
     return df.withColumns(numbers | {c: F.col(c).cast("string") for c in ("version", "new_site")}).drop("geom")
+
+
+def _layers_from_files(spark, d):
+    """The layers as Parquet tables, read back by the readers of the library."""
+    base = f"{shared_folder(spark)}/layers-{uuid.uuid4().hex}"
+    for name, df in plot_layers(spark, d).items():
+        df.withColumn("extra", F.lit(1)).write.parquet(f"{base}/{name}")
+    return {name: tables.read_layer(spark, f"{base}/{name}", name) for name in tables.LAYERS}
+
+
+def _by_site(footprints):
+    sums = footprints.groupBy("grant_id", "site_id").agg(F.count(F.lit(1)).alias("n"), F.sum(geo.area("geom")).alias("area"))
+    return sums.withColumn("area", F.round("area", 2))
+
+
+@query
+def application_footprint(spark, d):
+    """All five layers at 30 m, for grants of the later years."""
+    grants = orders(spark, d).select(F.col("fid").alias("grant_id"), "financial_year_end")
+    return _by_site(applications.footprint(_layers_from_files(spark, d), grants, GRID, after_fy=1998))
+
+
+@query
+def final_footprint(spark, d):
+    """Four layers at 50 m, with older footprints: only those of sites without a new one are taken."""
+    squares = plot_squares(spark, d).filter("name = 'a'").withColumn("grant_id", F.col("fid").cast("string"))
+    new, old = squares.withColumn("site_id", F.lit("old")), squares.withColumn("site_id", F.col("status"))
+    fallback = new.unionByName(old).select("grant_id", "site_id", "geom")
+    return _by_site(final_reports.footprint(_layers_from_files(spark, d), GRID, final_reports.BUFFERS[0], fallback))
+
+
+@query
+def savings_from_files(spark, d):
+    """Savings per grant with factors, units and mapping read from files; only classes with a unit are used."""
+    base = f"{shared_folder(spark)}/factors-{uuid.uuid4().hex}"
+    names = tables.FACTOR_SCHEMA.names
+    rows = [[n, drained, *[""] * (len(names) - 5), a, b, ""] for n, drained, a, b in TOTAL_FACTORS]
+    # The header starts with a byte-order mark.
+    lines = ["\ufeff" + ",".join(names), *(",".join(row) for row in rows)]
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(f"{base}/factors")
+    units = ["drainage_status,units", *(f"{n},t CO2e ha-1 yr-1" for n in names[-3:])]
+    spark.createDataFrame([(line,) for line in units], "value string").coalesce(1).write.text(f"{base}/units")
+    mapping(spark).withColumn("extra", F.lit(1)).write.parquet(f"{base}/mapping")
+    factors = tables.read_factors(spark, f"{base}/factors")
+    read = tables.read_mapping(spark, f"{base}/mapping")
+    saved = report_by_grant(wide_report(spark, d), read, factors).savings
+    unit = tables.read_units(spark, f"{base}/units").filter("factor_column = 'total_break1'").select("units")
+    return saved.withColumn("unit", unit.scalar())
+
+
+@query
+def source_tables(spark, d):
+    """Map, survey points and boundaries written with further columns and read back, counted by what they hold."""
+    base = f"{shared_folder(spark)}/sources-{uuid.uuid4().hex}"
+    tile_map(spark, d).write.parquet(f"{base}/map")
+    survey_points(spark, d).withColumn("extra", F.lit(1)).write.parquet(f"{base}/points")
+    boundaries = order_boxes(spark, d).select(F.col("fid").alias("grant_ref"), F.col("geom").alias("wkb_geometry"))
+    cover = tables.read_baseline(spark, f"{base}/map")
+    points_read = tables.read_points(spark, f"{base}/points")
+    projects = tables.read_boundaries(boundaries, "grant_ref", "wkb_geometry")
+    size = F.round(F.sum(geo.area("geom")), 2).alias("area")
+    parts = [
+        cover.groupBy(F.col("lc_level3").alias("what")).agg(F.count(F.lit(1)).alias("n"), size),
+        points_read.groupBy(F.col("condition").alias("what")).agg(F.count(F.lit(1)).alias("n"), size),
+        projects.groupBy(F.substring("grant_id", 1, 1).alias("what")).agg(F.count(F.lit(1)).alias("n"), size),
+    ]
+    named = [p.withColumn("source", F.lit(n)) for p, n in zip(parts, ("map", "points", "projects"))]
+    return reduce(DataFrame.unionByName, named)
+
+
+@query
+def uses_and_conditions(spark, d):
+    """Current uses of both sources per grant, and the conditions of the outline and the summary."""
+    _, _, sources = plot_sources(spark, d)
+    pairs = (("current_use", "current_use_of_site"), ("peatland_condition", "peat_condition_data"))
+    found = [attributes.outline_and_summary(sources.outline, sources.summary, *p).toDF("grant_id", "value") for p in pairs]
+    return found[0].withColumn("kind", F.lit("use")).unionByName(found[1].withColumn("kind", F.lit("condition")))
+
+
+@query
+def equal_shapes(spark, d):
+    """Squares drawn as a whole, drawn in two halves, and slightly larger: the first two are equal."""
+    df = plots(spark, d).withColumn("grant_id", F.col("fid").cast("string"))
+    x, y, w, half = F.col("x"), F.col("y"), F.col("w"), F.expr("w div 2")
+    drawn = lambda x0, x1, y1: rectangle(df, x0, y, x1, y1).select("grant_id", "geom")
+    halves = drawn(x, x + half, y + w).unionByName(drawn(x + half, x + w, y + w))
+    halves = halves.groupBy("grant_id").agg(geo.union("geom").alias("geom"))
+    rows = drawn(x, x + w, y + w).unionByName(halves).unionByName(drawn(x, x + w, y + w + 1))
+    left = overlap.drop_equal(cut_lineage(rows), ["grant_id"])
+    return left.groupBy("grant_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(geo.area("geom")), 2).alias("area"))
