@@ -39,6 +39,7 @@ def _real(value: Column | float) -> Column:
 
 
 def make_valid(geom: Column | str) -> Column:
+    """Repaired polygons; ground that a ring winds around twice is left out, valid geometry stays as it is."""
     return _fn("make_valid", geom)
 
 

@@ -521,3 +521,5 @@ ORACLE["uses_and_conditions"] = f"""WITH {PLOTS} SELECT DISTINCT * FROM (
     UNION ALL SELECT fid || 'd', unnest(['use', 'condition']), unnest(['grouse', 'Yes']) FROM plots WHERE status = 'P')"""
 ORACLE["equal_shapes"] = f"""WITH {PLOTS} SELECT CAST(fid AS VARCHAR) AS grant_id, CAST(2 AS BIGINT) AS n,
     CAST(w * w + w * (w + 1) AS DOUBLE) AS area FROM plots"""
+ORACLE["repaired_rings"] = f"""WITH {PLOTS} SELECT fid, unnest(['bow', 'twice', 'valid']) AS ring,
+    CAST(unnest([2, 7, 1]) * w * w AS DOUBLE) AS area FROM plots"""

@@ -741,3 +741,24 @@ def equal_shapes(spark, d):
     rows = drawn(x, x + w, y + w).unionByName(halves).unionByName(drawn(x, x + w, y + w + 1))
     left = overlap.drop_equal(cut_lineage(rows), ["grant_id"])
     return left.groupBy("grant_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(geo.area("geom")), 2).alias("area"))
+
+
+@query
+def repaired_rings(spark, d):
+    """Areas of polygons with a ring that crosses itself, one that winds around its middle twice, and a valid one."""
+    rings = {
+        "bow": "0 0, 2 2, 2 0, 0 2, 0 0",
+        "twice": "0 0, 3 0, 3 3, 1 3, 1 -1, 2 -1, 2 2, 0 2, 0 0",
+        "valid": "0 0, 1 0, 1 1, 0 1, 0 0",
+    }
+
+    def drawn(ring: str):
+        corners = [c.split() for c in ring.split(", ")]
+        texts = [F.concat_ws(" ", F.col("x") + F.col("w") * int(a), F.col("y") + F.col("w") * int(b)) for a, b in corners]
+        return geo.from_text(F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *texts), F.lit("))")))
+
+    geo.register(spark)
+    rows = F.array(*(F.struct(F.lit(k).alias("ring"), drawn(v).alias("geom")) for k, v in rings.items()))
+    df = plots(spark, d).select("fid", F.inline(rows))
+    done = footprint.buffer_dissolve(df, ["fid", "ring"], 0.0, GRID)
+    return done.groupBy("fid", "ring").agg(F.round(F.sum(geo.area("geom")), 2).alias("area"))

@@ -315,3 +315,21 @@ def test_wide_features_do_not_keep_a_crowded_cell_whole(spark):
     grid = Grid(120.0, 1_000_000, 50)
     hot = crowded_cells(cell_extents(df, grid.size), cell_extents(df, grid.size), grid)
     assert hot is not None and {(r._ix, r._iy) for r in hot.collect()} == {(0, 0)}
+
+
+@pytest.mark.parametrize(
+    ("wkt", "area"),
+    [
+        ("POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 2 1, 2 2, 1 2, 1 1))", 15.0),  # valid
+        ("POLYGON ((0 0, 4 4, 4 0, 0 4, 0 0))", 8.0),
+        ("POLYGON ((0 0, 3 0, 3 3, 1 3, 1 -1, 2 -1, 2 2, 0 2, 0 0))", 7.0),  # the middle is wound around twice
+        ("POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (6 0, 8 0, 8 2, 6 2, 6 0))", 20.0),  # a hole outside
+        ("POLYGON ((0 0, 9 0, 9 9, 0 9, 0 0), (1 1, 8 1, 8 8, 1 8, 1 1), (2 2, 3 2, 3 3, 2 3, 2 2))", 33.0),  # a hole in a hole
+        ("MULTIPOLYGON (((0 0, 4 0, 4 4, 0 4, 0 0)), ((0 0, 4 0, 4 4, 0 4, 0 0)))", 16.0),  # the same part twice
+        ("POLYGON ((0 0, 4 0, 0 0, 0 0))", 0.0),
+    ],
+)
+def test_repair(spark, wkt, area):
+    geo.register(spark)
+    row = spark.range(1).select(geo.area(geo.make_valid(geo.from_text(F.lit(wkt)))).alias("area")).first()
+    assert row.area == pytest.approx(area)
