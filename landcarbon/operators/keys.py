@@ -36,9 +36,10 @@ def not_in(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     executor whatever its size; this one can shuffle it.
     """
     listed = keys.select(F.col(keys.columns[0]).alias(column))
-    facts = listed.agg(F.count(F.lit(1)).alias("n"), F.count(column).alias("known"))
-    is_empty = facts.select(F.col("n") == 0).scalar()
-    has_null = facts.select(F.col("n") > F.col("known")).scalar()
+    # One row of facts, so that the list is read once for both.
+    n, known_n = F.count(F.lit(1)), F.count(column)
+    facts = listed.agg(F.struct((n == 0).alias("is_empty"), (n > known_n).alias("has_null"))).scalar()
+    is_empty, has_null = facts["is_empty"], facts["has_null"]
     possible = df.filter(is_empty | (~has_null & F.col(column).isNotNull()))
     known = listed.filter(F.col(column).isNotNull()).distinct()
     return possible.join(known, column, "left_anti").select(*df.columns)
