@@ -4,6 +4,10 @@ Each feature is listed under the cells that its envelope covers, both sides meet
 comparisons come before the exact geometry test. A pair that shares several cells is kept only in the cell with the
 lower left corner of the two envelopes' intersection, which needs no shuffle.
 
+Cells double in width from level to level. A feature is at home on the first level whose cells are as wide as itself, so
+it covers at most two by two of them, however wide it is. Two features meet on the home level of the wider one; for that,
+a feature is also listed on the wider levels that the other side has.
+
 Cells that hold too many candidates are divided further, so that one crowded place becomes many tasks.
 """
 
@@ -16,12 +20,11 @@ from pyspark.sql import functions as F
 
 from landcarbon.functions import geo
 from landcarbon.functions.geo import ENVELOPE
+from landcarbon.session import cut_lineage
 
 # Candidate pairs in one cell above which it is divided, and features aimed at in each part.
 CROWDED_PAIRS = 4_000_000
 PART_FEATURES = 500
-# Divisions of a crowded cell are copied to every executor up to this many; more are joined by shuffle.
-BROADCASTCELLS = 100_000
 
 TESTS = {
     "intersects": geo.intersects,
@@ -30,7 +33,9 @@ TESTS = {
     "overlaps": geo.overlaps,
     "equals": geo.equals,
 }
-CELL = ["_ix", "_iy", "_k", "_sx", "_sy"]
+# A cell: whose home it is (0: the left feature's, 1: only the right one's), its width and place, and the part of it.
+PLACE = ["_home", "_w", "_ix", "_iy"]
+CELL = [*PLACE, "_k", "_sx", "_sy"]
 
 
 class Grid(NamedTuple):
@@ -48,82 +53,120 @@ def suggest_cell_size(df: DataFrame, factor: float = 4.0) -> float:
     return max(1.0, (median or 0.0) * factor)
 
 
-def _cell_of(value: Column, size: float) -> Column:
-    return F.floor(value / F.lit(float(size))).cast("long")
+def _width(size: Column | float) -> Column:
+    return size if isinstance(size, Column) else F.lit(float(size))
+
+
+def _cell_of(value: Column, size: Column | float) -> Column:
+    return F.floor(value / _width(size)).cast("long")
 
 
-def covered_cells(df: DataFrame, size: float, prefix: str = "") -> DataFrame:
+def _extent() -> Column:
+    return F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
+
+
+def covered_cells(df: DataFrame, size: Column | float, prefix: str = "") -> DataFrame:
     """One row per feature and covered cell."""
     minx, miny, maxx, maxy = (F.col(prefix + c) for c in ENVELOPE)
     along_x = df.withColumn("_ix", F.explode(F.sequence(_cell_of(minx, size), _cell_of(maxx, size))))
     return along_x.withColumn("_iy", F.explode(F.sequence(_cell_of(miny, size), _cell_of(maxy, size))))
 
 
-def crowded_cells(left: DataFrame, right: DataFrame, grid: Grid) -> DataFrame | None:
+def _level(size: float) -> Column:
+    """How often a cell doubles until it is as wide as the feature."""
+    return F.greatest(F.ceil(F.log2(_extent() / F.lit(float(size)))), F.lit(0)).cast("int").alias("_level")
+
+
+def _levels(sides: list[DataFrame], size: float) -> list[list[int]]:
+    """The home levels on each side; a few numbers, as each stands for a doubling of the width."""
+    found = [df.select(F.lit(i).alias("side"), _level(size)) for i, df in enumerate(sides)]
+    rows = found[0].unionAll(found[1]).distinct().collect()
+    return [sorted(r._level for r in rows if r.side == i) for i in (0, 1)]
+
+
+def _on_levels(df: DataFrame, side: int, levels: list[list[int]], size: float) -> DataFrame:
+    """Rows once per level they are listed on, with ``_home`` and ``_w``.
+
+    Right features are at home for finer ones on the left, too. So each pair meets once: on the wider one's level.
+    """
+    others = f"cast(array({', '.join(map(str, levels[1 - side]))}) as array<int>)"
+    own = [0] if side == 0 else [0, 1]
+    at_home = f"transform(array({', '.join(map(str, own))}), h -> named_struct('_home', h, '_on', _level))"
+    if side == 1:
+        at_home = f"filter({at_home}, p -> p._home = 0 or _level > {min(levels[0], default=0)})"
+    visits = f"transform(filter({others}, v -> v > _level), v -> named_struct('_home', {1 - side}, '_on', v))"
+    placed = df.select("*", _level(size)).selectExpr("*", f"inline(concat({at_home}, {visits}))")
+    return placed.withColumn("_w", F.lit(float(size)) * F.pow(F.lit(2.0), "_on")).drop("_level", "_on")
+
+
+def crowded_cells(left: DataFrame, right: DataFrame, grid: Grid, place: list[str] | None = None) -> DataFrame | None:
     """Cells with too many candidate pairs and into how many parts per side to divide them; None if there are none.
 
-    Both inputs list (_ix, _iy, extent). The division follows the number of features, but stops where the parts
-    would be smaller than the features themselves: beyond that each feature would only be copied to more parts.
+    Both inputs list the columns of the place and ``extent``. The division follows the number of features, but stops
+    where the parts would be smaller than the features themselves: beyond that each feature would only be copied to
+    more parts. Pairs are the same with and without division.
     """
+    place = place or ["_ix", "_iy"]
+    width = F.col("_w") if "_w" in place else F.lit(float(grid.size))
     counted = [
-        side.groupBy("_ix", "_iy").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("extent").alias("extent"), F.lit(i).alias("side")
-        )
+        side.groupBy(*place).agg(F.count(F.lit(1)).alias("n"), F.sum("extent").alias("extent"), F.lit(i).alias("side"))
         for i, side in enumerate((left, right))
     ]
     n = [F.coalesce(F.sum(F.when(F.col("side") == i, F.col("n"))), F.lit(0)) for i in (0, 1)]
     cells = (
         counted[0]
         .unionAll(counted[1])
-        .groupBy("_ix", "_iy")
+        .groupBy(*place)
         .agg(n[0].alias("n0"), n[1].alias("n1"), (F.sum("extent") / F.sum("n")).alias("extent"))
         .filter(F.col("n0").cast("double") * F.col("n1") > grid.crowded_pairs)
     )
     wanted = F.ceil(F.sqrt((F.col("n0") + F.col("n1")) / grid.part_features))
-    useful = F.floor(F.lit(grid.size) / F.greatest(F.col("extent"), F.lit(grid.size / 1024)))
-    hot = cells.select("_ix", "_iy", F.greatest(F.least(wanted, useful), F.lit(1)).cast("long").alias("_k"))
-    hot = hot.filter("_k > 1")
-    found = hot.limit(BROADCASTCELLS + 1).count()
-    if found == 0:
-        return None
-    return F.broadcast(hot) if found <= BROADCASTCELLS else hot
+    # NULL, which does not count, where all features are points.
+    useful = F.floor(width / F.nullif(F.col("extent"), F.lit(0.0)))
+    hot = cells.select(*place, F.greatest(F.least(wanted, useful), F.lit(1)).cast("long").alias("_k"))
+    hot = cut_lineage(hot.filter("_k > 1"))
+    return None if hot.isEmpty() else hot
 
 
-def _part(value: Column, index: Column, size: float) -> Column:
+def _part(value: Column, index: Column, size: Column | float) -> Column:
     """Part of a divided cell that a coordinate falls in, held inside the cell."""
-    step = F.floor((value - index * F.lit(float(size))) * F.col("_k") / F.lit(float(size))).cast("long")
+    step = F.floor((value - index * _width(size)) * F.col("_k") / _width(size)).cast("long")
     return F.least(F.greatest(step, F.lit(0)), F.col("_k") - 1)
 
 
-def _divide(df: DataFrame, hot: DataFrame | None, size: float, prefix: str) -> DataFrame:
+def _divide(df: DataFrame, hot: DataFrame | None, prefix: str) -> DataFrame:
     if hot is None:
         return df.withColumns({"_k": F.lit(1), "_sx": F.lit(0), "_sy": F.lit(0)})
     minx, miny, maxx, maxy = (F.col(prefix + c) for c in ENVELOPE)
-    ix, iy = F.col("_ix"), F.col("_iy")
-    marked = df.join(hot, ["_ix", "_iy"], "left").withColumn("_k", F.coalesce("_k", F.lit(1)).cast("long"))
-    along_x = marked.withColumn("_sx", F.explode(F.sequence(_part(minx, ix, size), _part(maxx, ix, size))))
-    return along_x.withColumn("_sy", F.explode(F.sequence(_part(miny, iy, size), _part(maxy, iy, size))))
-
-
-def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*(F.col(c).alias(prefix + c) for c in df.columns))
+    ix, iy, w = F.col("_ix"), F.col("_iy"), F.col("_w")
+    marked = df.join(hot, PLACE, "left").withColumn("_k", F.coalesce("_k", F.lit(1)).cast("long"))
+    along_x = marked.withColumn("_sx", F.explode(F.sequence(_part(minx, ix, w), _part(maxx, ix, w))))
+    return along_x.withColumn("_sy", F.explode(F.sequence(_part(miny, iy, w), _part(maxy, iy, w))))
 
 
 def cell_extents(df: DataFrame, size: float) -> DataFrame:
     """Cells that the features' envelopes cover and how wide the features are; geometry is not touched."""
     cells = covered_cells(df.select(*ENVELOPE), size)
-    extent = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
     # Of a wide feature, no more than the cell counts; else a few of them would keep a crowded cell whole.
-    return cells.select("_ix", "_iy", F.least(extent, F.lit(float(size))).alias("extent"))
+    return cells.select("_ix", "_iy", F.least(_extent(), F.lit(float(size))).alias("extent"))
 
 
 def in_cells(sides: dict[str, DataFrame], grid: Grid) -> tuple[list[DataFrame], DataFrame | None]:
-    """Two sides with prefixed columns, listed under the cells they cover, crowded cells divided."""
-    hot = crowded_cells(*(cell_extents(df, grid.size) for df in sides.values()), grid)
+    """Two sides with prefixed columns, listed under the cells where they can meet, crowded cells divided.
+
+    Reads the envelopes of both sides up to three times, so the sides should be tables rather than long plans.
+    """
+    levels = _levels(list(sides.values()), grid.size)
+    placed = [_on_levels(df, i, levels, grid.size) for i, df in enumerate(sides.values())]
+    extents = [
+        covered_cells(df.select(*ENVELOPE, "_home", "_w"), F.col("_w")).select(*PLACE, F.least(_extent(), "_w").alias("extent"))
+        for df in placed
+    ]
+    hot = crowded_cells(*extents, grid, PLACE)
     listed = []
-    for prefix, df in sides.items():
-        cells = covered_cells(_prefixed(df, prefix), grid.size, prefix)
-        listed.append(_divide(cells, hot, grid.size, prefix))
+    for prefix, df in zip(sides, placed):
+        named = df.select(*(F.col(c).alias(c if c in PLACE else prefix + c) for c in df.columns))
+        listed.append(_divide(covered_cells(named, F.col("_w"), prefix), hot, prefix))
     return listed, hot
 
 
@@ -143,26 +186,38 @@ def spatial_pairs(
     grid: Grid,
     on: list[str] | None = None,
     condition: Column | None = None,
+    key: str | None = None,
 ) -> DataFrame:
     """Pairs of features that pass an exact test, each pair once.
 
     Both sides have ``geom`` and the four envelope columns. The result holds all columns, as ``l_…`` and ``r_…``.
     ``on`` names further columns that must agree, NULLs included; ``condition`` is a cheap filter on the prefixed
-    columns, tried before the geometry.
+    columns without geometry.
+
+    Features meet without their geometry, which is joined to the candidates afterwards. Both sides are staged under
+    a row number for that, unless ``key`` names a column that is unique in each of them, and they are tables already.
     """
     geo.register(left.sparkSession)
-    (a, b), hot = in_cells({"l_": left, "r_": right}, grid)
+    same = left is right
+    if key is None:
+        key = "_row"
+        left = cut_lineage(left.withColumn(key, F.monotonically_increasing_id()))
+        right = left if same else cut_lineage(right.withColumn(key, F.monotonically_increasing_id()))
+    (a, b), hot = in_cells({"l_": left.drop("geom"), "r_": right.drop("geom")}, grid)
     met = a.join(b, [*CELL]) if not on else _join_on(a, b, on)
-    corner_x = F.greatest("l_minx", "r_minx")
-    corner_y = F.greatest("l_miny", "r_miny")
-    here = (_cell_of(corner_x, grid.size) == F.col("_ix")) & (_cell_of(corner_y, grid.size) == F.col("_iy"))
+    corner_x, corner_y, w = F.greatest("l_minx", "r_minx"), F.greatest("l_miny", "r_miny"), F.col("_w")
+    here = (_cell_of(corner_x, w) == F.col("_ix")) & (_cell_of(corner_y, w) == F.col("_iy"))
     if hot is not None:
-        here = here & (_part(corner_x, F.col("_ix"), grid.size) == F.col("_sx"))
-        here = here & (_part(corner_y, F.col("_iy"), grid.size) == F.col("_sy"))
+        here = here & (_part(corner_x, F.col("_ix"), w) == F.col("_sx"))
+        here = here & (_part(corner_y, F.col("_iy"), w) == F.col("_sy"))
     keep = envelopes_meet() & here
     if condition is not None:
         keep = keep & condition
-    return met.filter(keep & TESTS[test](F.col("l_geom"), F.col("r_geom"))).drop(*CELL)
+    met = met.filter(keep).drop(*CELL)
+    for prefix, df in (("l_", left), ("r_", right)):
+        met = met.join(df.select(F.col(key).alias(prefix + key), F.col("geom").alias(f"{prefix}geom")), prefix + key)
+    met = met.filter(TESTS[test](F.col("l_geom"), F.col("r_geom")))
+    return met.drop("l__row", "r__row")
 
 
 def spatial_hits(
@@ -203,13 +258,18 @@ def _join_on(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
     return a.join(b, [*CELL, *keys]).drop(*keys)
 
 
+def staged_shapes(shaped: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Distinct shapes as a table, so that cells are counted from their envelopes alone."""
+    return cut_lineage(geo.distinct_shapes(shaped, extra))
+
+
 def spatial_exists(left: DataFrame, right: DataFrame, test: str, grid: Grid, negate: bool = False) -> DataFrame:
     """Rows of the left side with (or without) a partner on the right.
 
     Copies of a shape count once on both sides. A row without geometry has no partner.
     """
     shaped = geo.with_shape(left)
-    sides = [geo.distinct_shapes(df).select("_shape", "geom", *ENVELOPE) for df in (shaped, geo.with_shape(right))]
+    sides = [staged_shapes(df).select("_shape", "geom", *ENVELOPE) for df in (shaped, geo.with_shape(right))]
     hits = spatial_hits(*sides, test, grid, ["_shape"])
     return shaped.join(hits, "_shape", "left_anti" if negate else "left_semi").select(*left.columns)
 
