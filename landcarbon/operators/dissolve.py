@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from landcarbon.functions import geo
@@ -24,21 +24,22 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Edges are (a, b). Alternating "large star" and "small star" steps (Kiveris et al., 2014) shorten long chains
     in few rounds, and every step is a grouped minimum plus a join, whatever the degree of a node.
     """
-    links = cut_lineage(
+    links, mark = _written(
         edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi != lo").distinct()
     )
-    mark = _fingerprint(links)
     before = None
     while mark != before:  # each round shortens some chain, so it comes to rest
-        links = cut_lineage(_small_star(_large_star(links)))
-        before, mark = mark, _fingerprint(links)
+        before = mark
+        links, mark = _written(_small_star(_large_star(links)))
     roots = links.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     return links.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionAll(roots)
 
 
-def _fingerprint(links: DataFrame) -> tuple:
+def _written(links: DataFrame) -> tuple[DataFrame, dict]:
+    """Links as a table, with their number and digest, which are taken while they are written."""
+    mark = Observation()
     digest = F.sum(F.xxhash64("hi", "lo").cast("decimal(20,0)"))
-    return tuple(links.agg(F.count(F.lit(1)), digest).first())
+    return cut_lineage(links.observe(mark, F.count(F.lit(1)).alias("n"), digest.alias("digest"))), mark.get
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -63,13 +64,15 @@ def _small_star(links: DataFrame) -> DataFrame:
 def dissolve(df: DataFrame, keys: list[str], grid: Grid) -> DataFrame:
     """Single polygons of the union of ``geom`` per key, as (keys, geom)."""
     pieces = cut_lineage(_pieces(df, keys, grid))
-    touching = spatial_pairs(
-        pieces, pieces, "intersects", grid, on=keys, condition=F.col("l_piece") < F.col("r_piece")
-    )
-    # The join carries geometry; its result is needed twice, as edges only.
+    # Pieces of one home cell are disjoint already.
+    apart = F.lit(False)
+    for l, r in zip(_home_cell(grid, "l_"), _home_cell(grid, "r_")):
+        apart = apart | (l != r)
+    condition = (F.col("l_piece") < F.col("r_piece")) & apart
+    touching = spatial_pairs(pieces, pieces, "intersects", grid, on=keys, condition=condition, key="piece")
     edges = touching.select(F.col("l_piece").alias("a"), F.col("r_piece").alias("b"))
     components = connected_components(edges)
-    labelled = pieces.join(components.withColumnRenamed("node", "piece"), "piece", "left")
+    labelled = cut_lineage(pieces.join(components.withColumnRenamed("node", "piece"), "piece", "left"))
 
     alone = labelled.filter("component is null").select(*keys, "geom")
     # Where a component is large, its cells are merged separately first.
@@ -87,8 +90,9 @@ def _pieces(df: DataFrame, keys: list[str], grid: Grid) -> DataFrame:
     return geo.with_envelope(parts.withColumn("piece", geo.feature_id(keys)))
 
 
-def _home_cell(grid: Grid) -> list[Column]:
-    return [F.floor(F.col(c) / F.lit(float(grid.size))).alias(f"_home_{c}") for c in ENVELOPE[:2]]
+def _home_cell(grid: Grid, prefix: str = "") -> list[Column]:
+    """The cell of the lower left corner; that of a piece is the one of the features it is made of."""
+    return [F.floor(F.col(prefix + c) / F.lit(float(grid.size))).alias(f"_home_{c}") for c in ENVELOPE[:2]]
 
 
 def multi(df: DataFrame, keys: list[str]) -> DataFrame:
