@@ -172,6 +172,18 @@ def order_boxes(spark: SparkSession, folder: str) -> DataFrame:
     return boxes.drop("o_custkey", "w")
 
 
+def mixed_squares(spark: SparkSession, folder: str) -> DataFrame:
+    """A square 5 m wide per order, and one of 30 km and more per nation: (id, geom, envelope)."""
+    small = table(spark, folder, "orders").selectExpr(
+        "concat('o', o_orderkey) as id", "o_custkey * 13 as x", "o_orderkey % 1000 as y", "5 as w"
+    )
+    wide = table(spark, folder, "nation").selectExpr(
+        "concat('n', n_nationkey) as id", "n_nationkey * 7000 as x", "n_nationkey - 15000 as y", "30000 + n_regionkey * 5000 as w"
+    )
+    both = small.unionByName(wide)
+    return boxed(both, F.col("x"), F.col("y"), F.col("w")).select("id", "geom", *ENVELOPE)
+
+
 def item_boxes(spark: SparkSession, folder: str) -> DataFrame:
     """One square per distinct (part, supplier, quantity) and order, 1 to 50 m wide."""
     df = table(spark, folder, "lineitem").select(

@@ -523,3 +523,8 @@ ORACLE["equal_shapes"] = f"""WITH {PLOTS} SELECT CAST(fid AS VARCHAR) AS grant_i
     CAST(w * w + w * (w + 1) AS DOUBLE) AS area FROM plots"""
 ORACLE["repaired_rings"] = f"""WITH {PLOTS} SELECT fid, unnest(['bow', 'twice', 'valid']) AS ring,
     CAST(unnest([2, 7, 1]) * w * w AS DOUBLE) AS area FROM plots"""
+ORACLE["mixed_widths"] = f"""WITH squares AS (
+    SELECT 'o' || o_orderkey AS id, o_custkey * 13 AS minx, o_orderkey % 1000 AS miny, minx + 5 AS maxx, miny + 5 AS maxy FROM orders
+    UNION ALL SELECT 'n' || n_nationkey, n_nationkey * 7000 AS x, n_nationkey - 15000 AS y,
+      x + 30000 + n_regionkey * 5000, y + 30000 + n_regionkey * 5000 FROM nation)
+  SELECT a.id, count(*) AS n FROM squares a JOIN squares b ON {MEET} AND a.id <> b.id GROUP BY a.id"""

@@ -31,6 +31,7 @@ from standins.inputs import (
     item_boxes,
     labelled_areas,
     mapping,
+    mixed_squares,
     order_boxes,
     orders,
     plain,
@@ -528,6 +529,14 @@ def intersecting_boxes(spark, d):
     return met.groupBy(F.col("l_fid").alias("fid")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def mixed_widths(spark, d):
+    """Number of others that each square meets, among small squares and some hundreds of cells wide."""
+    side = mixed_squares(spark, d)
+    met = spatial_pairs(side, side, "intersects", GRID, condition=F.col("l_id") != F.col("r_id"))
+    return met.groupBy(F.col("l_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def covered_boxes(spark, d):
     return overlap.drop_covered(item_boxes(spark, d), GRID).select("l_orderkey", "l_linenumber", *ENVELOPE)
