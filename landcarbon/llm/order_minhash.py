@@ -8,8 +8,11 @@ with 24 sketches, at J = 0.8 they miss all with a chance of 3 in a million.
 
 Equal texts (by their words) are one node. Nodes with an equal sketch are a bucket; its smallest node is aligned with
 each other one, so a bucket of n gives n - 1 pairs. Buckets in which an alignment fails are looked through once more,
-each with a node of its own in the middle, which a hash picks; so such nodes meet up to 24 others. A pair holds if at most a fifth of the longer text's words
-must be inserted, deleted or replaced. Classes are the connected components of these pairs.
+each with a node of its own in the middle, which a hash picks. The nodes of buckets that are not one component by then
+are joined exactly: two texts with a share of 0.8 or more have one of their rarest k-mers in common (prefix filter), so
+nodes with such a k-mer meet, first the smallest one with the others, then every two that are in different components.
+A pair holds if at most a fifth of the longer text's words must be inserted, deleted or replaced. Classes are the
+connected components of these pairs.
 
 A text of fewer than five words is one k-mer; texts without words, null among them, are copies of each other. A node
 is a 64-bit fingerprint. Rows that repeat an id are one document if their texts are equal.
@@ -17,6 +20,7 @@ is a 64-bit fingerprint. Rows that repeat an id are one document if their texts
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +35,7 @@ WORDS = 5
 TAKE = 4
 SKETCHES = 24
 SIMILARITY = 0.8
+SLOTS = 20  # bits of the slots in which occurrences of k-mers are counted
 _SEEDS = np.random.default_rng(20240229).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -128,25 +133,117 @@ def aligned(pairs: DataFrame, codes: DataFrame, similarity: float = SIMILARITY)
     return both.select("a", "b", near.alias("near"))
 
 
-def links(sk: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Pairs (a, b) of nodes that hold, from staged ``sketched`` rows."""
+def linked(sk: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, component) of the nodes that some pair holds of, from staged ``sketched`` rows."""
     members = staged(sk.filter("keys is not null").select("node", F.explode("keys").alias("key")).distinct())
     stars = staged(_stars(members))
     first = stars.select("a", "b").distinct()
-    tested = staged(aligned(first, _codes(sk, first), similarity))
+    tested = staged(aligned(first, _codes(sk, _ends(first)), similarity))
 
     # Buckets with a pair that fails, once more around other nodes.
     failed = stars.join(tested.filter("not near").select("a", "b"), ["a", "b"], "left_semi").select("key").distinct()
-    second = _stars(members.join(failed, "key", "left_semi"), any_node=True)
-    second = second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    unlike = staged(members.join(failed, "key", "left_semi"))
+    second = _stars(unlike, any_node=True).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     second = staged(second.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-    more = staged(aligned(second, _codes(sk, second), similarity))
-    return tested.unionByName(more).filter("near").select("a", "b")
+    tested = tested.unionByName(staged(aligned(second, _codes(sk, _ends(second)), similarity)))
+    found = connected_components(tested.filter("near").select("a", "b"))
+    return _resolved(sk, unlike, tested, found, similarity)
+
+
+def _resolved(sk: DataFrame, unlike: DataFrame, tested: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """Components after the exact join of the nodes in buckets that are not yet one component."""
+    unlike = unlike.join(found, "node", "left").selectExpr("key", "node", "coalesce(component, node) as component")
+    mixed = unlike.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
+    rest = staged(unlike.join(mixed, "key", "left_semi").select("node", "component").distinct())
+    if rest.isEmpty():
+        return found
+    codes = _codes(sk, rest.select("node"))
+    of = staged(prefixes(codes, similarity).join(rest, "node"))
+    groups = of.groupBy("key").agg(F.min_by(F.struct("node", "component", "n", "at"), "node").alias("l"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    groups = groups.filter("lo != hi").select("key", "l")
+    stars = of.withColumn("r", F.struct("node", "component", "n", "at")).select("key", "r").join(groups, "key")
+    third = staged(_possible(stars, tested, similarity))
+    more = staged(aligned(third, codes, similarity))
+    now = staged(_merged(rest, more))
+
+    # What is left: every two nodes of different components.
+    each = of.drop("component").join(now.select("node", "component"), "node")
+    mixed = each.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
+    each = staged(each.join(mixed, "key", "left_semi").select("key", F.struct("node", "component", "n", "at").alias("l")))
+    pairs = each.join(each.withColumnRenamed("l", "r"), "key").filter("l.node < r.node")
+    fourth = staged(_possible(pairs, tested.unionByName(more), similarity))
+    more = more.unionByName(staged(aligned(fourth, codes, similarity)))
+    last = _merged(rest, more).groupBy("before").agg(F.min("component").alias("last"))
+    whole = found.unionByName(rest.join(found, "node", "left_anti"))
+    return whole.join(last, whole.component == last.before, "left").selectExpr("node", "coalesce(last, component) as component")
+
+
+def _merged(rest: DataFrame, tested: DataFrame) -> DataFrame:
+    """(node, before, component): components of ``rest`` joined by pairs that are near."""
+    of = lambda side: rest.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
+    near = tested.filter("near").join(of("a"), "a").join(of("b"), "b")
+    by = connected_components(near.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct())
+    by = by.withColumnsRenamed({"node": "before", "component": "after"})
+    return rest.withColumnRenamed("component", "before").join(by, "before", "left").selectExpr("node", "before", "coalesce(after, before) as component")
+
+
+def _possible(pairs: DataFrame, tested: DataFrame, similarity: float) -> DataFrame:
+    """Distinct untested (a, b) of different components that can share enough k-mers, by their numbers and places in the order."""
+    least, share = similarity - 1e-9, similarity / (1 + similarity) - 1e-9
+    able = f"l.component != r.component and least(l.n, r.n) >= {least} * greatest(l.n, r.n) and least(l.n - l.at, r.n - r.at) >= {share} * (l.n + r.n)"
+    new = pairs.filter(able).selectExpr("least(l.node, r.node) as a", "greatest(l.node, r.node) as b").distinct()
+    return new.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+
+
+def prefixes(codes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, key, n, at): the rarest of a node's n k-mers and their places in the order of rarity.
+
+    Two nodes with enough k-mers in common share one of these under any order that is the same for all nodes, so it is
+    enough to count occurrences in slots. K-mers that many texts share come last and are mostly left out.
+    """
+    parts, own = 64, 1 << SLOTS - 6
+    of = lambda text: kmers(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64))
+    slot = lambda k: (k >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(parts * own, np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                np.add.at(n, slot(of(text)), 1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([c.tobytes() for c in n.reshape(parts, own)], pa.binary())], ["part", "n"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(n, np.int64) for n in table["n"].to_pylist()], axis=0)
+        return pa.table({"part": table["part"][:1], "n": pa.array([np.minimum(total, 2**31 - 1).astype("<i4").tobytes()], pa.binary())})
+
+    counted = map_arrow(codes.select("codes"), count, "part int, n binary").groupBy("part").applyInArrow(add, "part int, n binary")
+    of_part = {r.part: bytes(r.n) for r in counted.collect()}
+    often = codes.sparkSession.sparkContext.broadcast(b"".join(of_part.get(p, bytes(4 * own)) for p in range(parts)))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times = np.frombuffer(often.value, "<i4")
+        for batch in batches:
+            keys, sizes = [np.zeros(0, np.uint64)], []
+            for text in batch.column(1).to_pylist():
+                k = of(text)
+                first = len(k) - math.ceil(similarity * len(k) - 1e-9) + 1
+                keys.append(k[np.lexsort((k, times[slot(k)]))[:first]])
+                sizes.append((len(k), len(keys[-1])))
+            of_text = [s for _, s in sizes]
+            node = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), of_text)
+            n = np.repeat(np.array([s for s, _ in sizes], np.int32), of_text)
+            at = np.concatenate([np.zeros(0, np.int32), *(np.arange(s, dtype=np.int32) for s in of_text)])
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(np.concatenate(keys).view(np.int64)), pa.array(n, pa.int32()), pa.array(at, pa.int32())], ["node", "key", "n", "at"])
+
+    return map_arrow(codes.select("node", "codes"), pick, "node long, key long, n int, at int")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
 
-def _codes(sk: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Codes of the nodes in some pair, once per node."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _codes(sk: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Codes of some nodes, once per node."""
     own = sk.filter("codes is not null").select("node", "codes").join(nodes, "node", "left_semi")
     return staged(own.groupBy("node").agg(F.max("codes").alias("codes")))
 
@@ -154,7 +251,7 @@ def _codes(sk: DataFrame, pairs: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, class_id) of every row: the smallest id of its class, which is its own id where it has no duplicate."""
     sk = staged(sketched(docs, id_col, text_col))
-    components = connected_components(links(sk, similarity))
+    components = linked(sk, similarity)
     least = sk.groupBy("node").agg(F.min("doc_id").alias("least"))
     labelled = staged(least.join(components, "node", "left").selectExpr("node", "coalesce(component, node) as component", "least"))
     class_ids = labelled.groupBy("component").agg(F.min("least").alias("class_id"))

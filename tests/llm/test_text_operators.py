@@ -97,6 +97,21 @@ def test_near_duplicates(spark, empty):
     assert order_minhash.deduplicated(twice).count() == 32
 
 
+def test_near_duplicates_among_many_classes_that_share_a_passage(spark):
+    r = random.Random(11)
+    fresh = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    passage, rows = fresh(156), []
+    for _ in range(400):
+        own = fresh(24)
+        rows += [passage + own + fresh(20) for _ in range(2)]
+    table = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    shingles = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in rows]
+    near = [(i, i + 1) for i in range(0, 800, 2) if len(shingles[i] & shingles[i + 1]) >= 0.8 * len(shingles[i] | shingles[i + 1])]
+    assert len(near) == 400 and len(shingles[0] & shingles[2]) < 0.8 * len(shingles[0] | shingles[2])
+    got = {r.doc_id: r.class_id for r in order_minhash.classes(spark.createDataFrame(table, "doc_id long, text string").repartition(4)).collect()}
+    assert all(got[i] == i // 2 * 2 for i in range(800))
+
+
 def test_order_matters_to_a_sketch():
     words = np.arange(400, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     turned = np.concatenate((words[200:], words[:200]))
