@@ -120,7 +120,8 @@ def aligned(pairs: DataFrame, codes: DataFrame, similarity: float = SIMILARITY)
     """
     of = lambda side: codes.select(F.col("node").alias(side), F.col("codes").alias(f"codes_{side}"))
     both = pairs.join(of("b"), "b").join(of("a"), "a")
-    both = both.withColumn("limit", F.floor(F.greatest(F.length("codes_a"), F.length("codes_b")) * (1 - similarity)).cast("int"))
+    # The share of a fifth is a little less in binary, so whole limits would be missed by one.
+    both = both.withColumn("limit", F.floor(F.greatest(F.length("codes_a"), F.length("codes_b")) * (1 - similarity) + 1e-9).cast("int"))
     # A word that stands on one side only costs an edit, so too many of them rule a pair out.
     lone = "size(array_except(split(codes_{}, ''), split(codes_{}, ''))) > limit"
     near = F.expr(

@@ -112,6 +112,14 @@ def test_near_duplicates_among_many_classes_that_share_a_passage(spark):
     assert all(got[i] == i // 2 * 2 for i in range(800))
 
 
+@pytest.mark.parametrize("n", [5, 10, 50, 100, 500, 1000])
+def test_a_pair_that_differs_in_exactly_a_fifth_is_near(spark, n):
+    rows = [(k, "a" * (n - n // 5 - k // 2) + "bc"[k % 2] * (n // 5 + k // 2)) for k in range(4)]
+    codes = spark.createDataFrame(rows, "node long, codes string")
+    got = order_minhash.aligned(spark.createDataFrame([(0, 1), (2, 3)], "a long, b long"), codes).collect()
+    assert {r.a: r.near for r in got} == {0: True, 2: False}
+
+
 def test_order_matters_to_a_sketch():
     words = np.arange(400, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     turned = np.concatenate((words[200:], words[:200]))
