@@ -45,7 +45,7 @@ VERSIONED = (
 PLAIN = (
     ("mit", "mit licen[cs]e|permission is hereby granted free of charge to any person obtaining a copy", "mit|permission is hereby"),
     ("bsd", "bsd licen[cs]e|bsd style licen[cs]e|redistribution and use in source and binary forms", "bsd|redistribution"),
-    ("bsd-2-clause", "(?:2|two) clause bsd|bsd (?:2|two) clause|simplified bsd|freebsd licen[cs]e", "bsd"),
+    ("bsd-2-clause", "(?:2|two) clause bsd|bsd (?:2|two) clause|simplified bsd|freebsd licen[cs]e", "bsd|freebsd"),
     ("bsd-3-clause", "(?:3|three) clause bsd|bsd (?:3|three) clause|(?:new|revised|modified) bsd licen[cs]e", "bsd"),
     ("bsd-4-clause", "(?:4|four) clause bsd|bsd (?:4|four) clause|original bsd licen[cs]e", "bsd"),
     ("isc", "isc licen[cs]e", "isc"),
@@ -80,7 +80,7 @@ def _rules() -> list[tuple[int, str, float, list[str], re.Pattern[bytes]]]:
             number = f"(?:{exact}|{short})" if short != exact else exact
             out.append((8, f"{label}-or-later", 0.95, keys, _words(f"(?:{names}) (?:version |v )?v?{number} (?:or (?:any )?later(?: version)?|plus)")))
             out.append((8, f"{label}-only", 0.95, keys, _words(f"(?:{names}) (?:version |v )?v?{number} only")))
-            out.append((7, label, 0.9, keys, _words(f"spdx licen[cs]e identifier {name} {exact}")))
+            out.append((7, label, 0.9, ["spdx"], _words(f"spdx licen[cs]e identifier {name} {exact}")))
             out.append((6, label, 0.8, keys, _words(f"(?:{names}) (?:version |v )v?{number}")))
             out.append((5, label, 0.7, keys, _words(f"(?:{names.split('|')[-1]}) ?v?{exact}")))
         out.append((2, name, 0.4, keys, _words("|".join(n for n in names.split("|") if " " in n) or names)))

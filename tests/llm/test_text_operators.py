@@ -142,6 +142,41 @@ def test_licenses(docs, empty, texts):
         assert row.base_labels == ",".join(sorted(labels)) and labels <= set(row.labels.split(",")) | {""} and 0 <= row.score <= 1
 
 
+def alternatives(parsed):
+    """Every text that a parsed pattern stands for; classes by each of their characters, repeats by fewest and most."""
+    out = [""]
+    for kind, value in parsed:
+        kind = str(kind)
+        if kind == "LITERAL":
+            own = [chr(value)]
+        elif kind == "IN":
+            own = [chr(c) for _, c in value]
+        elif kind == "BRANCH":
+            own = [x for branch in value[1] for x in alternatives(branch)]
+        elif kind == "SUBPATTERN":
+            own = alternatives(value[3])
+        elif kind == "MAX_REPEAT":
+            own = ([""] if value[0] == 0 else []) + alternatives(value[2])
+            assert value[1] == 1
+        else:
+            assert kind == "ASSERT_NOT", kind
+            own = [""]
+        out = [a + b for a in out for b in own]
+    return out
+
+
+def test_each_alternative_of_a_license_rule_starts_a_word_with_one_of_its_keywords():
+    from re import _parser
+
+    lost = set()
+    for _, label, _, keys, pattern in license_scan._rules():
+        for line in alternatives(_parser.parse(pattern.pattern.decode())):
+            assert pattern.fullmatch(line.encode()), line
+            if not any(f" {key}" in f" {line}" for key in keys):
+                lost.add((label, line))
+    assert not lost
+
+
 def test_a_weaker_detection_inside_a_stronger_one_goes():
     found = license_scan._suppress([(0, 30, 6, "a", 0.8), (0, 14, 2, "b", 0.4), (20, 40, 2, "c", 0.4), (5, 10, 9, "d", 1.0)])
     assert [f[3] for f in found] == ["a", "d", "c"]
