@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landcarbon.llm import byte_bpe, decontaminate, kneser_ney, license_scan, order_minhash, pii, quality_rules, secret_scan, token_store, weak_quality
+from landcarbon.llm import byte_bpe, conversation_repair, curriculum, decontaminate, kneser_ney, license_scan, order_minhash, pii, quality_rules, secret_scan, spelling, token_store, weak_quality
 from landcarbon.llm.common import read
 
 END_ID = 2
@@ -72,6 +72,19 @@ def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return token_store.stored(read(spark, folder, "documents"), vocabulary("word_bpe_49k.json").decode(), END_ID)
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    talks = read(spark, folder, "conversations")
+    return conversation_repair.report(talks, conversation_repair.damaged(talks))
+
+
+def op12_curriculum(spark: SparkSession, folder: str) -> DataFrame:
+    return curriculum.report(read(spark, folder, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,5 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_kneser_ney,
         op9_byte_bpe,
         op10_token_store,
+        op11_conversation_repair,
+        op12_curriculum,
+        op13_spelling_variants,
     )
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from landcarbon.llm import decontaminate, quality_rules, secret_scan
+from landcarbon.llm import curriculum, decontaminate, quality_rules, secret_scan
 from landcarbon.llm.common import WHITE
 
 _ROLES = {"id": [], "secret": [], "endpoint": []}
@@ -78,4 +78,57 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
 from docs left join hit_words using (rid) left join hit_items using (rid)"""
 
 
-SQL: dict[str, str] = {"op1_secret_scan": secrets_sql(), "op2_quality_rules": quality_sql(), "op5_decontaminate": decontaminate_sql()}
+def _due(schedule: tuple, share: str) -> str:
+    """The inverse of a schedule's integral, segment by segment."""
+    areas = [(b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(schedule, schedule[1:])]
+    out = []
+    for k, area in enumerate(areas):
+        (t0, w0), (t1, w1) = schedule[k], schedule[k + 1]
+        over = f"({share} * {sum(areas)!r}::double - {float(sum(areas[:k]))!r}::double)"
+        root = f"sqrt(greatest({w0 * w0!r}::double + {2 * (w1 - w0) / (t1 - t0)!r}::double * {over}, 0::double))"
+        inside = f"case when {over} > 0 then {t0!r}::double + 2 * {over} / ({w0!r}::double + {root}) else {t0!r}::double end"
+        out.append(f"when {over} <= {area!r}::double then least({inside}, {t1!r}::double)")
+    return f"case {' '.join(out)} else 1::double end"
+
+
+def curriculum_sql() -> str:
+    weights = ", ".join(f"{float(w)!r}::double" for w in curriculum.WEIGHTS)
+    last = len(curriculum.LONG)
+    length = " ".join(f"when size > target * {x!r}::double then {k}" for k, x in enumerate(curriculum.LONG))
+    carried, needs = [], []
+    for k in range(last + 1):
+        before = "0::double" if k == 0 else "coalesce(o.left_over, 0::double)"
+        old = "" if k == 0 else f"left join left{k - 1} o on o.source is not distinct from c.source"
+        needs.append(f"select source, length, need from need{k}")
+        carried.append(f"""need{k} as (select c.source, c.length, c.part + {before} as need from part c {old} where c.length = {k}),
+left{k} as (select c.source, case when n.need is null then {before} else n.need - coalesce((select sum(d.size) from own d
+    where d.length = {k} and d.source is not distinct from c.source and d.before + d.size / 2 < n.need), 0) end as left_over
+    from src c left join need{k} n on n.source is not distinct from c.source {old})""")
+    time = " ".join(f"when turn % {len(curriculum.SCHEDULES)} = {k} then {_due(s, '(before / total)')}" for k, s in enumerate(curriculum.SCHEDULES))
+    return f"""
+with s as (select row_number() over () as rid, doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^{WHITE}]+')) as bigint) as size from documents),
+src as (select source, cast(sum(size) as bigint) as source_size, (row_number() over (order by source nulls last) - 1) % {len(curriculum.WEIGHTS)} as turn from s group by source),
+w as (select *, [{weights}][turn + 1] as w from src),
+r as (select *, row_number() over q as i, ((select sum(source_size) from w) - coalesce(sum({curriculum.REPEATS} * source_size) over (q rows between unbounded preceding and 1 preceding), 0))
+    / sum(w) over (q rows between current row and unbounded following) as share from w window q as (order by {curriculum.REPEATS} * source_size / w, source)),
+lam as (select coalesce(min_by(share, i), 0) as share from r where share * w <= {curriculum.REPEATS} * source_size),
+t as (select source, turn, source_size, least(share * w, cast({curriculum.REPEATS} * source_size as double)) as target from w, lam),
+placed as (select rid, doc_id, s.source, size, source_size, target, cast(least(floor(target / source_size), {curriculum.REPEATS}) as bigint) as whole,
+    case {length} else {last} end as length, md5(coalesce(cast(doc_id as varchar), '')) as hash from s join t on s.source is not distinct from t.source where size > 0),
+own as materialized (select *, coalesce(sum(size) over (partition by source, length order by hash, doc_id, size, rid rows between unbounded preceding and 1 preceding), 0) as before from placed),
+part as (select source, length, (any_value(target) - any_value(whole) * any_value(source_size)) * sum(size) / any_value(source_size) as part from placed group by source, length),
+{', '.join(carried)},
+need as ({' union all '.join(needs)}),
+taken as (select rid, doc_id, own.source, size, whole + cast(before + size / 2 < need as bigint) as copies
+    from own join need on own.source is not distinct from need.source and own.length = need.length),
+copies as (select rid, doc_id, source, size, unnest(range(1, copies + 1)) as copy from taken),
+staged as (select *, coalesce(sum(size) over (partition by source order by copy, md5(copy || ':' || coalesce(cast(doc_id as varchar), '')), doc_id, size, rid rows between unbounded preceding and 1 preceding), 0) as before,
+    sum(size) over (partition by source) as total from copies),
+timed as (select staged.*, case {time} end as time from staged join t on staged.source is not distinct from t.source),
+ordered as (select rid, size, coalesce(sum(size) over (order by time, source nulls last, copy, doc_id, rid rows between unbounded preceding and 1 preceding), 0) as start from timed),
+sums as (select rid, cast(sum(size) as bigint) as taken, cast(min(start) as bigint) as first_start from ordered group by rid)
+select doc_id, size, source_size, round(target, 6) as target, coalesce(taken, 0) as taken, first_start
+from s join t on s.source is not distinct from t.source left join sums using (rid)"""
+
+
+SQL: dict[str, str] = {"op1_secret_scan": secrets_sql(), "op2_quality_rules": quality_sql(), "op5_decontaminate": decontaminate_sql(), "op12_curriculum": curriculum_sql()}
