@@ -19,6 +19,14 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """``name``, made longer until no column of the table has it, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` with batches bounded in bytes, so that very long texts do not meet in one batch."""
     conf = df.sparkSession.conf

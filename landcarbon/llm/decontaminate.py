@@ -256,8 +256,13 @@ def cleaned(docs: DataFrame, blocks: list, max_coverage: float = 0.5, text_col:
     """Documents without benchmark passages, in the columns of ``docs``.
 
     Matched spans are cut out of the text, and a document goes if they cover more than ``max_coverage`` of its words.
-    Removal is repeated on changed documents until no window is left, since what stood around a span now meets.
+    Removal is repeated on changed documents until no window is left, since what stood around a span now meets. Columns
+    go by number meanwhile, so that they may have any names. A null text has no words and stays.
     """
+    names = docs.columns
+    docs = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    id_col, text_col = (f"c{names.index(c)}" for c in (id_col, text_col))
+    length_col = f"c{names.index(length_col)}" if length_col in names else None
     columns = docs.columns
     found = matches(docs, blocks, id_col, text_col, columns)
     covered = F.aggregate("_spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
@@ -285,7 +290,7 @@ def cleaned(docs: DataFrame, blocks: list, max_coverage: float = 0.5, text_col:
                     arrays[length_at] = pa.array(lengths, arrays[length_at].type)
             yield pa.RecordBatch.from_arrays(arrays, columns)
 
-    return map_arrow(stays, remove, schema)
+    return map_arrow(stays, remove, schema).toDF(*names)
 
 
 def _without(text: str, spans: list[tuple[int, int]], made: list[Automaton]) -> str:

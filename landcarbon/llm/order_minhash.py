@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landcarbon.llm.common import map_arrow, staged, word_list
+from landcarbon.llm.common import fresh, map_arrow, staged, word_list
 from landcarbon.operators.dissolve import connected_components
 
 WORDS = 5
@@ -263,9 +263,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each class, in the columns of ``docs``: the one with the smallest id."""
     found = staged(classes(docs, similarity, id_col, text_col))
-    kept = found.filter("doc_id <=> class_id").groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_n"))
+    own, n = fresh("_kept", docs), fresh("_n", docs)
+    kept = found.filter("doc_id <=> class_id").groupBy(F.col("doc_id").alias(own)).agg(F.count(F.lit(1)).alias(n))
     # Ids grow with the documents, so they are never broadcast, however few they are in a small run.
-    stays = docs.join(kept.select("_kept").hint("shuffle_merge"), docs[id_col].eqNullSafe(F.col("_kept")), "left_semi")
-    if kept.filter("_n > 1").isEmpty():
+    stays = docs.join(kept.select(own).hint("shuffle_merge"), docs[id_col].eqNullSafe(F.col(own)), "left_semi")
+    if kept.filter(F.col(n) > 1).isEmpty():
         return stays
     return stays.dropDuplicates([id_col, text_col])

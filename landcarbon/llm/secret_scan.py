@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landcarbon.llm.common import WHITE
+from landcarbon.llm.common import WHITE, fresh
 
 SCOPE = 200  # code points between two parts that belong together
 _SET = r"[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?"
@@ -126,12 +126,13 @@ def secrets(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", text_co
 
 def redacted(docs: DataFrame, mark: str = "<secret>", scope: int = SCOPE, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """Documents with every reported span replaced by ``mark``, in the columns of ``docs``."""
-    spans = with_spans(docs, text_col, "_spans", scope)
+    found = fresh("_spans", docs)
+    spans = with_spans(docs, text_col, found, scope)
     piece = f"concat(substring(txt, acc + 1, greatest(0, x.start - acc)), if(x.start >= acc, '{mark}', ''))"
     cut = scan("sp", "0", "string", "greatest(acc, x.end)", piece)
     rest = "substring(txt, array_max(transform(sp, s -> s.end)) + 1)"
-    text = let("txt", f"`{text_col}`", let("sp", "_spans", f"concat(array_join({cut}, ''), {rest})"))
-    new = spans.withColumn(text_col, F.expr(f"if(size(_spans) = 0, `{text_col}`, {text})"))
+    text = let("txt", f"`{text_col}`", let("sp", found, f"concat(array_join({cut}, ''), {rest})"))
+    new = spans.withColumn(text_col, F.expr(f"if(size({found}) = 0, `{text_col}`, {text})"))
     if length_col in docs.columns:
-        new = new.withColumn(length_col, F.expr(f"if(size(_spans) = 0, `{length_col}`, length(`{text_col}`))"))
+        new = new.withColumn(length_col, F.expr(f"if(size({found}) = 0, `{length_col}`, length(`{text_col}`))"))
     return new.select(*docs.columns)

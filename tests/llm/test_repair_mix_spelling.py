@@ -259,3 +259,19 @@ def test_forms_are_followed_to_the_last(spark):
         docs.append((f"{word} " * (n * 6**k)).strip())
     got = {x.word: x for x in spelling.variants(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), damaged=10**12).collect()}
     assert {x.root for x in got.values()} == {"abjihg"} and got["abcdef"].form == "abcdeg"
+
+
+def test_own_columns_with_internal_names_stay(spark):
+    """All stages of the pipeline that hand documents on, with columns that are named as theirs."""
+    from landcarbon.llm import decontaminate, order_minhash, secret_scan, weak_quality
+
+    names = "_spans _Words _items _kept _n _row _by txt ps sp arr acc found node key keys codes component least class_id doc_id_ size hit".split()
+    text = "the river flows over stones token = abcdefghijkl0123 and " + " ".join(f"word{i}" for i in range(60))
+    rows = [(i, t, "en", "s", 0, *(f"{n}{i}" for n in names)) for i, t in enumerate([text, text, None, "", "other words of the item here that nobody else has in it at all"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int, " + ", ".join(f"`{n}` string" for n in names))
+    items = spark.createDataFrame([("b", "nobody else has in it at all")], "item_id string, text string")
+    for stage in (secret_scan.redacted, order_minhash.deduplicated, weak_quality.filtered, lambda d: decontaminate.cleaned(d, decontaminate.automata(items))):
+        out = stage(docs)
+        assert out.columns == docs.columns and out.count() > 0
+        for r in out.collect():
+            assert all(r[n] == f"{n}{r.doc_id}" for n in names)
