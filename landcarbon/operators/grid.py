@@ -36,6 +36,7 @@ TESTS = {
 # A cell: whose home it is (0: the left feature's, 1: only the right one's), its width and place, and the part of it.
 PLACE = ["_home", "_w", "_ix", "_iy"]
 CELL = [*PLACE, "_k", "_sx", "_sy"]
+PART = ["_ix", "_iy", "_k", "_sx", "_sy"]
 
 
 class Grid(NamedTuple):
@@ -107,11 +108,18 @@ def crowded_cells(left: DataFrame, right: DataFrame, grid: Grid, place: list[str
     more parts. Pairs are the same with and without division.
     """
     place = place or ["_ix", "_iy"]
+    return crowded_counts(cell_counts(left, place), cell_counts(right, place), grid, place)
+
+
+def cell_counts(df: DataFrame, place: list[str]) -> DataFrame:
+    """(place, n, extent): features per cell and the sum of their widths."""
+    return df.groupBy(*place).agg(F.count(F.lit(1)).alias("n"), F.sum("extent").alias("extent"))
+
+
+def crowded_counts(left: DataFrame, right: DataFrame, grid: Grid, place: list[str]) -> DataFrame | None:
+    """As ``crowded_cells``, from the counts of both sides."""
     width = F.col("_w") if "_w" in place else F.lit(float(grid.size))
-    counted = [
-        side.groupBy(*place).agg(F.count(F.lit(1)).alias("n"), F.sum("extent").alias("extent"), F.lit(i).alias("side"))
-        for i, side in enumerate((left, right))
-    ]
+    counted = [side.select(*place, "n", "extent", F.lit(i).alias("side")) for i, side in enumerate((left, right))]
     n = [F.coalesce(F.sum(F.when(F.col("side") == i, F.col("n"))), F.lit(0)) for i in (0, 1)]
     cells = (
         counted[0]

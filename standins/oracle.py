@@ -528,3 +528,5 @@ ORACLE["mixed_widths"] = f"""WITH squares AS (
     UNION ALL SELECT 'n' || n_nationkey, n_nationkey * 7000 AS x, n_nationkey - 15000 AS y,
       x + 30000 + n_regionkey * 5000, y + 30000 + n_regionkey * 5000 FROM nation)
   SELECT a.id, count(*) AS n FROM squares a JOIN squares b ON {MEET} AND a.id <> b.id GROUP BY a.id"""
+ORACLE["stored_map_clip"] = ORACLE["box_clip_area"]
+ORACLE["clipped_map"] = ORACLE["box_clip_area"]

@@ -16,6 +16,7 @@ from landcarbon.functions.factors import TOTAL_FACTORS, total_factors
 from landcarbon.functions.geo import ENVELOPE
 from landcarbon.functions.text import clean_current_use, grid_reference, names_forestry_technique, text_or_notes
 from landcarbon.operators import allocation, attributes, emissions, footprint, keys, overlap, overlay, points
+from landcarbon.operators.categories import category_label as category_label_of
 from landcarbon.operators.categories import pivot_categories
 from landcarbon.operators.changes import track_changes
 from landcarbon.operators.dissolve import dissolve, multi
@@ -25,6 +26,7 @@ from landcarbon.plans.publish import publish_report, publish_rollup
 from landcarbon.plans.reporting import report_by_grant, report_by_year
 from landcarbon.session import cut_lineage, shared_folder
 from landcarbon.sources import tables
+from landcarbon.sources.celled_map import open_celled_map, write_celled_map
 from landcarbon.sources.snapshots import latest_snapshot, publish_latest, read_snapshot, run_ids, write_snapshot, write_table
 from standins.inputs import (
     draft_report,
@@ -498,6 +500,24 @@ def box_clip_area(spark, d):
     return op(overlay.category_areas(order_boxes(spark, d), tile_map(spark, d), GRID), ["fid"])
 
 
+@query
+def stored_map_clip(spark, d):
+    """Clipped area per order box and category, from a map that is stored in cells first and then opened."""
+    from landcarbon.operators.categories import category_area as op
+
+    path = f"{shared_folder(spark)}/map-{uuid.uuid4().hex}"
+    write_celled_map(tile_map(spark, d), path, GRID)
+    return op(overlay.category_areas(order_boxes(spark, d), open_celled_map(spark, path), GRID), ["fid"])
+
+
+@query
+def clipped_map(spark, d):
+    """The clipped map as polygons of each order box and label, measured after they were put together over cells."""
+    polygons = overlay.clip_overlay(order_boxes(spark, d), tile_map(spark, d), GRID)
+    grouped = polygons.groupBy("fid", category_label_of().alias("category"))
+    return grouped.agg(F.round(F.sum(geo.area("geom")), 2).alias("category_area"))
+
+
 @query
 def clip_report(spark, d):
     """The whole overlay job up to the wide draft, one row per distinct grant and box."""
