@@ -153,6 +153,21 @@ def disjoint(a: Column | str, b: Column | str) -> Column:
     return ~intersects(a, b)
 
 
+def raster(geom: Column | str) -> Column:
+    """The cells of a polygon as bytes, for ``decided``; NULL for other geometry."""
+    return _fn("raster", geom)
+
+
+def decided(test: str, a: Column | str, b: Column | str) -> Column:
+    """What two rasters tell of a test: 1 if it holds, 0 if not, -1 if only the geometry can tell."""
+    return _fn(f"decide_{test}", a, b)
+
+
+def boxed(raster: str) -> Column:
+    """Whether a raster is that of a rectangle; two of these leave nothing undecided."""
+    return F.coalesce(F.octet_length(raster) == 40, F.lit(False))
+
+
 def union(geom: Column | str) -> Column:
     """Aggregate: the union of a group, merged on the map side first."""
     return _fn("union", geom)

@@ -213,12 +213,7 @@ def spatial_pairs(
         right = left if same else cut_lineage(right.withColumn(key, F.monotonically_increasing_id()))
     (a, b), hot = in_cells({"l_": left.drop("geom"), "r_": right.drop("geom")}, grid)
     met = a.join(b, [*CELL]) if not on else _join_on(a, b, on)
-    corner_x, corner_y, w = F.greatest("l_minx", "r_minx"), F.greatest("l_miny", "r_miny"), F.col("_w")
-    here = (_cell_of(corner_x, w) == F.col("_ix")) & (_cell_of(corner_y, w) == F.col("_iy"))
-    if hot is not None:
-        here = here & (_part(corner_x, F.col("_ix"), w) == F.col("_sx"))
-        here = here & (_part(corner_y, F.col("_iy"), w) == F.col("_sy"))
-    keep = envelopes_meet() & here
+    keep = envelopes_meet() & _here(hot)
     if condition is not None:
         keep = keep & condition
     met = met.filter(keep).drop(*CELL)
@@ -237,24 +232,64 @@ def spatial_hits(
     on: list[str] | None = None,
     condition: Column | None = None,
 ) -> DataFrame:
-    """Distinct keys of the left features with at least one partner on the right.
+    """Distinct keys of the left features with at least one partner on the right, both as ``staged_shapes`` gives them.
 
-    A semi join on the cell: it goes on to the next feature at the first partner, so that a place where very many
-    features overlap costs no pairs. ``on`` names columns that must be equal, which a NULL never is.
+    First a semi join on the cell, which reads rasters and no geometry. It goes on to the next feature at the first
+    partner that the rasters prove, so that a place where very many features overlap costs no pairs. Of the features left
+    then, the pairs that rasters leave undecided are joined with their geometry and tested. ``on`` names columns that must
+    be equal, which a NULL never is.
     """
     geo.register(left.sparkSession)
-    (a, b), _ = in_cells({"l_": left, "r_": right}, grid)
+    names = list(dict.fromkeys(["_shape", *keys, *(on or []), "raster", *ENVELOPE]))
+    (a, b), hot = in_cells({"l_": left.select(*names), "r_": right.select(*names)}, grid)
     b = b.withColumnsRenamed({c: f"_r{c}" for c in CELL})
-    together = F.lit(True)
+    together = envelopes_meet()
     for c in CELL:
         together = together & (F.col(c) == F.col(f"_r{c}"))
     for c in on or []:
         together = together & (F.col(f"l_{c}") == F.col(f"r_{c}"))
-    keep = together & envelopes_meet()
     if condition is not None:
-        keep = keep & condition
-    hits = a.join(b, keep & TESTS[test](F.col("l_geom"), F.col("r_geom")), "left_semi")
-    return hits.select(*(F.col(f"l_{k}").alias(k) for k in keys)).distinct()
+        together = together & condition
+    verdict = geo.decided(test, "l_raster", "r_raster")
+    mine = [F.col(f"l_{k}").alias(k) for k in keys]
+    proved = a.join(b, together & (verdict == 1), "left_semi").select(*mine).distinct()
+
+    # Two rectangles leave nothing undecided.
+    odd = [not side.filter(~geo.boxed("raster")).isEmpty() for side in ([left] if left is right else [left, right])]
+    if not any(odd):
+        return proved
+    proved = cut_lineage(proved)
+    mark = proved.withColumnsRenamed({k: f"_had_{k}" for k in keys})
+    had = F.lit(True)
+    for k in keys:
+        had = had & F.col(f"l_{k}").eqNullSafe(F.col(f"_had_{k}"))
+    # A pair that shares several cells counts in one of them.
+    undecided = together & _here(hot) & (verdict == -1)
+    columns = ["l__shape", "r__shape", *(f"l_{k}" for k in keys if k != "_shape")]
+    rest = a.join(mark, had, "left_anti")
+    pairs = rest.filter(geo.boxed("l_raster")).join(b.filter(~geo.boxed("r_raster")), undecided).select(*columns)
+    if odd[0]:
+        pairs = pairs.unionAll(rest.filter(~geo.boxed("l_raster")).join(b, undecided).select(*columns))
+    pairs = cut_lineage(pairs)
+    if pairs.isEmpty():
+        return proved
+    tested = pairs.select("l__shape", "r__shape").distinct()
+    for prefix, df in (("l_", left), ("r_", right)):
+        shapes = df.select(F.col("_shape").alias(f"{prefix}_shape"), F.col("geom").alias(f"{prefix}geom")).join(tested.select(f"{prefix}_shape").distinct(), f"{prefix}_shape", "left_semi")
+        tested = tested.join(shapes.dropDuplicates([f"{prefix}_shape"]), f"{prefix}_shape")
+    tested = tested.filter(TESTS[test](F.col("l_geom"), F.col("r_geom"))).select("l__shape", "r__shape")
+    found = pairs.join(tested, ["l__shape", "r__shape"], "left_semi").select(*mine)
+    return proved.unionByName(found).distinct()
+
+
+def _here(hot: DataFrame | None) -> Column:
+    """Whether the cell is the one with the lower left corner of the intersection of two envelopes."""
+    corner_x, corner_y, w = F.greatest("l_minx", "r_minx"), F.greatest("l_miny", "r_miny"), F.col("_w")
+    here = (_cell_of(corner_x, w) == F.col("_ix")) & (_cell_of(corner_y, w) == F.col("_iy"))
+    if hot is not None:
+        here = here & (_part(corner_x, F.col("_ix"), w) == F.col("_sx"))
+        here = here & (_part(corner_y, F.col("_iy"), w) == F.col("_sy"))
+    return here
 
 
 def _join_on(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
@@ -267,8 +302,8 @@ def _join_on(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
 
 
 def staged_shapes(shaped: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Distinct shapes as a table, so that cells are counted from their envelopes alone."""
-    return cut_lineage(geo.distinct_shapes(shaped, extra))
+    """Distinct shapes as a table, with rasters, so that joins read envelopes and rasters alone."""
+    return cut_lineage(geo.distinct_shapes(shaped, extra).withColumn("raster", geo.raster("geom")))
 
 
 def spatial_exists(left: DataFrame, right: DataFrame, test: str, grid: Grid, negate: bool = False) -> DataFrame:
@@ -277,7 +312,7 @@ def spatial_exists(left: DataFrame, right: DataFrame, test: str, grid: Grid, neg
     Copies of a shape count once on both sides. A row without geometry has no partner.
     """
     shaped = geo.with_shape(left)
-    sides = [staged_shapes(df).select("_shape", "geom", *ENVELOPE) for df in (shaped, geo.with_shape(right))]
+    sides = [staged_shapes(df) for df in (shaped, geo.with_shape(right))]
     hits = spatial_hits(*sides, test, grid, ["_shape"])
     return shaped.join(hits, "_shape", "left_anti" if negate else "left_semi").select(*left.columns)
 
