@@ -16,14 +16,16 @@ from landcarbon.operators.emissions import (
     unpivot_classes,
 )
 from landcarbon.plans.reporting import in_report_order
-from landcarbon.sources.snapshots import latest_snapshot, publish_latest, read_snapshot, write_snapshot
+from landcarbon.sources.manifest import publish_manifest
+from landcarbon.sources.snapshots import latest_snapshot, publish_latest, read_snapshot, run_id_of, write_snapshot
 
-REPORT = "report"
+REPORT, ROLLUP = "report", "rollup"
 
 
 def publish_report(report: DataFrame, base: str, pipeline: str, run_date: date) -> str:
-    """Write a finished wide report under its date and point the pipeline's view at the newest one."""
-    write_snapshot(report, base, f"{pipeline}_{REPORT}", run_date)
+    """Write a finished wide report under its date, publish it, and point the session's view at the newest one."""
+    run = write_snapshot(report, base, f"{pipeline}_{REPORT}", run_date)
+    publish_manifest(report.sparkSession, base, f"{pipeline}_{REPORT}", run, [f"{pipeline}_{REPORT}"])
     return publish_latest(report.sparkSession, base, f"{pipeline}_{REPORT}")
 
 
@@ -39,14 +41,16 @@ def publish_rollup(
 ) -> DataFrame:
     """Roll up the newest report of a pipeline, write each table under a timestamp, and return the savings.
 
-    Each table is computed from the one written before it, so nothing is computed twice. An error if there is no
-    report.
+    Each table is computed from the one written before it, so nothing is computed twice. When all are written, one
+    manifest makes them the newest rollup for every session. An error if there is no report.
     """
+    written = []
     report = allocate(latest_snapshot(spark, base, f"{pipeline}_{REPORT}"))
 
     def publish(df: DataFrame, table: str) -> DataFrame:
         name = f"{pipeline}_{table}"
         run = write_snapshot(df, base, name, moment)
+        written.append(name)
         publish_latest(spark, base, name)
         return read_snapshot(spark, base, name, run)
 
@@ -58,4 +62,5 @@ def publish_rollup(
         m2 = publish(rollup_m2(report, key), "m2")
         ha = publish(hectares_of(m2, key), "ha")
     calcs = publish(emission_calcs(unpivot_classes(ha, key), mapping, factors, key), "emissions")
+    publish_manifest(spark, base, f"{pipeline}_{ROLLUP}", run_id_of(moment), written)
     return in_report_order(savings(calcs, key), key)

@@ -530,3 +530,4 @@ ORACLE["mixed_widths"] = f"""WITH squares AS (
   SELECT a.id, count(*) AS n FROM squares a JOIN squares b ON {MEET} AND a.id <> b.id GROUP BY a.id"""
 ORACLE["stored_map_clip"] = ORACLE["box_clip_area"]
 ORACLE["clipped_map"] = ORACLE["box_clip_area"]
+ORACLE["latest_rollup"] = ORACLE["published_savings"]

@@ -23,10 +23,11 @@ from landcarbon.operators.dissolve import dissolve, multi
 from landcarbon.operators.grid import Grid, spatial_exists, spatial_pairs
 from landcarbon.plans import applications, final_reports
 from landcarbon.plans.publish import publish_report, publish_rollup
-from landcarbon.plans.reporting import report_by_grant, report_by_year
+from landcarbon.plans.reporting import in_report_order, report_by_grant, report_by_year
 from landcarbon.session import cut_lineage, shared_folder
 from landcarbon.sources import tables
 from landcarbon.sources.celled_map import open_celled_map, write_celled_map
+from landcarbon.sources.manifest import open_latest
 from landcarbon.sources.snapshots import latest_snapshot, publish_latest, read_snapshot, run_ids, write_snapshot, write_table
 from standins.inputs import (
     draft_report,
@@ -668,6 +669,17 @@ def published_savings(spark, d):
     return publish_rollup(spark, base, "applications", mapping(spark), total_factors(spark), moment)
 
 
+@query
+def latest_rollup(spark, d):
+    """The savings again, by another session, from the newest whole rollup that it finds published."""
+    base = f"{shared_folder(spark)}/published-{uuid.uuid4().hex}"
+    publish_report(_application(spark, d), base, "applications", RUN_DATE)
+    publish_rollup(spark, base, "applications", mapping(spark), total_factors(spark), datetime(2025, 12, 12, 8, 30))
+    other = spark.newSession()
+    open_latest(other, base, "applications_rollup")
+    return in_report_order(emissions.savings(other.table("applications_emissions_latest"), "grant_id"))
+
+
 @query
 def final_report(spark, d):
     """The final-report job from all its sources to change flags, on the plots."""
