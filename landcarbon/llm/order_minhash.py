@@ -159,26 +159,40 @@ def _resolved(sk: DataFrame, unlike: DataFrame, tested: DataFrame, found: DataFr
     if rest.isEmpty():
         return found
     codes = _codes(sk, rest.select("node"))
-    of = staged(prefixes(codes, similarity).join(rest, "node"))
-    groups = of.groupBy("key").agg(F.min_by(F.struct("node", "component", "n", "at"), "node").alias("l"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    groups = groups.filter("lo != hi").select("key", "l")
+    often = _frequencies(codes)
+    # The component travels on one row per node; the many rows of the prefixes are joined with nothing by node.
+    of = staged(prefixes(codes.join(rest, "node"), often, similarity))
+    groups = _groups(of).select("key", F.col("first").alias("l"))
     stars = of.withColumn("r", F.struct("node", "component", "n", "at")).select("key", "r").join(groups, "key")
     third = staged(_possible(stars, tested, similarity))
     more = staged(aligned(third, codes, similarity))
     now = staged(_merged(rest, more))
 
     # What is left: every two nodes of different components.
-    each = of.drop("component").join(now.select("node", "component"), "node")
-    mixed = each.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
-    each = staged(each.join(mixed, "key", "left_semi").select("key", F.struct("node", "component", "n", "at").alias("l")))
+    each = staged(prefixes(codes.join(now.select("node", "component"), "node"), often, similarity))
+    each = staged(each.join(_groups(each).select("key"), "key", "left_semi").select("key", F.struct("node", "component", "n", "at").alias("l")))
     pairs = each.join(each.withColumnRenamed("l", "r"), "key").filter("l.node < r.node")
     fourth = staged(_possible(pairs, tested.unionByName(more), similarity))
     more = more.unionByName(staged(aligned(fourth, codes, similarity)))
-    last = _merged(rest, more).groupBy("before").agg(F.min("component").alias("last"))
+    last = staged(_merged(rest, more).groupBy("before").agg(F.min("component").alias("last")))
     whole = found.unionByName(rest.join(found, "node", "left_anti"))
     return whole.join(last, whole.component == last.before, "left").selectExpr("node", "coalesce(last, component) as component")
 
 
+def _groups(of: DataFrame) -> DataFrame:
+    """(key, first): k-mers whose nodes are of several components, one k-mer for each set of nodes, with its smallest node.
+
+    A passage that texts share has many k-mers with the same nodes. Of those the first in the order of rarity stands for
+    all: where it is the first that two nodes share, their places in the order say the most.
+    """
+    first = F.min(F.struct("node", "component", "n", "at")).alias("first")
+    marks = [F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("sum"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("xor")]
+    groups = of.groupBy("key").agg(first, F.count(F.lit(1)).alias("size"), *marks, F.min("component").alias("lo"), F.max("component").alias("hi"))
+    groups = groups.filter("lo != hi")
+    one = groups.groupBy("size", "sum", "xor").agg(F.min_by(F.struct("key", "first"), F.struct("first.at", "key")).alias("g"))
+    return staged(one.select("g.key", "g.first"))
+
+
 def _merged(rest: DataFrame, tested: DataFrame) -> DataFrame:
     """(node, before, component): components of ``rest`` joined by pairs that are near."""
     of = lambda side: rest.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
@@ -196,22 +210,26 @@ def _possible(pairs: DataFrame, tested: DataFrame, similarity: float) -> DataFra
     return new.join(tested.select("a", "b"), ["a", "b"], "left_anti")
 
 
-def prefixes(codes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, key, n, at): the rarest of a node's n k-mers and their places in the order of rarity.
+_PARTS, _OWN = 64, 1 << SLOTS - 6
 
-    Two nodes with enough k-mers in common share one of these under any order that is the same for all nodes, so it is
-    enough to count occurrences in slots. K-mers that many texts share come last and are mostly left out.
-    """
-    parts, own = 64, 1 << SLOTS - 6
-    of = lambda text: kmers(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64))
-    slot = lambda k: (k >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+def _labelled(codes: str) -> np.ndarray:
+    return kmers(np.frombuffer(codes.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64))
+
+
+def _slot(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+
+def _frequencies(codes: DataFrame):
+    """How often k-mers occur, counted in a fixed number of slots; a broadcast of 4 MB."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(parts * own, np.int64)
+        n = np.zeros(_PARTS * _OWN, np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                np.add.at(n, slot(of(text)), 1)
-        yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([c.tobytes() for c in n.reshape(parts, own)], pa.binary())], ["part", "n"])
+                np.add.at(n, _slot(_labelled(text)), 1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(_PARTS), pa.int32()), pa.array([c.tobytes() for c in n.reshape(_PARTS, _OWN)], pa.binary())], ["part", "n"])
 
     def add(table: pa.Table) -> pa.Table:
         total = np.sum([np.frombuffer(n, np.int64) for n in table["n"].to_pylist()], axis=0)
@@ -219,24 +237,33 @@ def prefixes(codes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     counted = map_arrow(codes.select("codes"), count, "part int, n binary").groupBy("part").applyInArrow(add, "part int, n binary")
     of_part = {r.part: bytes(r.n) for r in counted.collect()}
-    often = codes.sparkSession.sparkContext.broadcast(b"".join(of_part.get(p, bytes(4 * own)) for p in range(parts)))
+    return codes.sparkSession.sparkContext.broadcast(b"".join(of_part.get(p, bytes(4 * _OWN)) for p in range(_PARTS)))
+
+
+def prefixes(nodes: DataFrame, often, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, component, key, n, at): the rarest of a node's n k-mers and their places in the order of rarity.
+
+    Two nodes with enough k-mers in common share one of these under any order that is the same for all nodes, so it is
+    enough to count occurrences in slots. K-mers that many texts share come last and are mostly left out.
+    """
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         times = np.frombuffer(often.value, "<i4")
         for batch in batches:
             keys, sizes = [np.zeros(0, np.uint64)], []
-            for text in batch.column(1).to_pylist():
-                k = of(text)
+            for text in batch.column(2).to_pylist():
+                k = _labelled(text)
                 first = len(k) - math.ceil(similarity * len(k) - 1e-9) + 1
-                keys.append(k[np.lexsort((k, times[slot(k)]))[:first]])
+                keys.append(k[np.lexsort((k, times[_slot(k)]))[:first]])
                 sizes.append((len(k), len(keys[-1])))
             of_text = [s for _, s in sizes]
-            node = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), of_text)
+            node, component = (np.repeat(batch.column(i).to_numpy(zero_copy_only=False), of_text) for i in (0, 1))
             n = np.repeat(np.array([s for s, _ in sizes], np.int32), of_text)
             at = np.concatenate([np.zeros(0, np.int32), *(np.arange(s, dtype=np.int32) for s in of_text)])
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(np.concatenate(keys).view(np.int64)), pa.array(n, pa.int32()), pa.array(at, pa.int32())], ["node", "key", "n", "at"])
+            arrays = [pa.array(node, pa.int64()), pa.array(component, pa.int64()), pa.array(np.concatenate(keys).view(np.int64)), pa.array(n, pa.int32()), pa.array(at, pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, ["node", "component", "key", "n", "at"])
 
-    return map_arrow(codes.select("node", "codes"), pick, "node long, key long, n int, at int")
+    return map_arrow(nodes.select("node", "component", "codes"), pick, "node long, component long, key long, n int, at int")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -255,7 +282,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_
     components = linked(sk, similarity)
     least = sk.groupBy("node").agg(F.min("doc_id").alias("least"))
     labelled = staged(least.join(components, "node", "left").selectExpr("node", "coalesce(component, node) as component", "least"))
-    class_ids = labelled.groupBy("component").agg(F.min("least").alias("class_id"))
+    # As a table, so that both sides of the join are dealt out for it and a large class can be split.
+    class_ids = staged(labelled.groupBy("component").agg(F.min("least").alias("class_id")))
     by_node = labelled.join(class_ids, "component").select("node", "class_id")
     return sk.select("doc_id", "node").join(by_node, "node").select("doc_id", "class_id")
 
