@@ -61,6 +61,11 @@ def normalize(geom: Column | str) -> Column:
     return _fn("normalize", geom)
 
 
+def canonical(geom: Column | str) -> Column:
+    """The one form that topologically equal polygons share, whatever their vertices on straight lines and their order."""
+    return _fn("canonical", geom)
+
+
 def parts(geom: Column | str) -> Column:
     """The non-empty single parts, as an array of geometries."""
     return _fn("parts", geom)

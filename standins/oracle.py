@@ -188,7 +188,8 @@ TECHNIQUES = """tech AS (
          'rod', 'tree felling'), 'gear', 'Stump') AS restoration_technique
   FROM part)"""
 SITES = """site_rows AS (
-  SELECT l_partkey AS grant_id, CASE WHEN l_suppkey <> 1 THEN CAST(l_suppkey AS VARCHAR) END AS site_id, l_returnflag AS source FROM lineitem),
+  SELECT l_partkey AS grant_id, CASE WHEN l_suppkey <> 1 THEN CAST(l_suppkey AS VARCHAR) END AS site_id,
+         CASE WHEN l_returnflag = 'A' THEN 'A' ELSE 'R' END AS source FROM lineitem),
 present AS (SELECT DISTINCT concat(grant_id, '--', site_id) AS k FROM site_rows WHERE source = 'A')"""
 MISSING = """SELECT grant_id, site_id, source FROM site_rows
 WHERE source = 'R' AND concat(grant_id, '--', site_id) NOT IN (SELECT k FROM present)"""
@@ -368,7 +369,7 @@ ORACLE: dict[str, str] = {
              {", ".join(f"CAST(coalesce(max(area) FILTER (WHERE category = {text(k)}), 0) AS DOUBLE) AS {c}" for k, c in CATEGORIES.items())}
       FROM boxes JOIN met USING (fid) LEFT JOIN clipped USING (fid) GROUP BY fid, grant_id, minx, miny, maxx, maxy, w""",
     "unmapped_boxes": f"""WITH {BOXES}, {ITEMS} SELECT fid, grant_id FROM boxes a
-      WHERE NOT EXISTS (SELECT 1 FROM items b WHERE l_returnflag = 'R' AND {MEET})""",
+      WHERE NOT EXISTS (SELECT 1 FROM items b WHERE {MEET})""",
     "points_in_boxes": f"""WITH {BOXES}, {POINTS}, inside AS (
         SELECT fid, condition, true AS found FROM boxes JOIN points ON x > minx AND x < maxx AND y > miny AND y < maxy)
       SELECT fid, {", ".join(
@@ -531,3 +532,4 @@ ORACLE["mixed_widths"] = f"""WITH squares AS (
 ORACLE["stored_map_clip"] = ORACLE["box_clip_area"]
 ORACLE["clipped_map"] = ORACLE["box_clip_area"]
 ORACLE["latest_rollup"] = ORACLE["published_savings"]
+ORACLE["report_order"] = f"SELECT grant_id, row_number() OVER (ORDER BY grant_id NULLS FIRST) AS position FROM ({ORACLE['savings_by_grant']})"

@@ -23,7 +23,7 @@ from landcarbon.operators.dissolve import dissolve, multi
 from landcarbon.operators.grid import Grid, spatial_exists, spatial_pairs
 from landcarbon.plans import applications, final_reports
 from landcarbon.plans.publish import publish_report, publish_rollup
-from landcarbon.plans.reporting import in_report_order, report_by_grant, report_by_year
+from landcarbon.plans.reporting import in_report_order, numbered, report_by_grant, report_by_year
 from landcarbon.session import cut_lineage, shared_folder
 from landcarbon.sources import tables
 from landcarbon.sources.celled_map import open_celled_map, write_celled_map
@@ -165,6 +165,12 @@ def savings_by_grant(spark, d):
     return _by_grant(spark, d).savings
 
 
+@query
+def report_order(spark, d):
+    """The place of every grant in the printed report."""
+    return numbered(_by_grant(spark, d).savings).select("grant_id", "position")
+
+
 @query
 def savings_by_year(spark, d):
     return _by_year(spark, d).savings
@@ -256,7 +262,9 @@ def null_aware_not_in(spark, d):
 
 
 def _site_rows(spark, d, flag):
-    rows = table(spark, d, "lineitem").filter(F.col("l_returnflag") == flag)
+    """Items that were accepted (A), or all the others (R)."""
+    accepted = F.col("l_returnflag") == "A"
+    rows = table(spark, d, "lineitem").filter(accepted if flag == "A" else ~accepted)
     site = F.when(F.col("l_suppkey") != 1, F.col("l_suppkey").cast("string"))
     return rows.select(F.col("l_partkey").alias("grant_id"), site.alias("site_id"), F.lit(flag).alias("source"))
 
@@ -530,9 +538,8 @@ def clip_report(spark, d):
 
 @query
 def unmapped_boxes(spark, d):
-    """Order boxes that do not even touch a box of a returned item."""
-    right = item_boxes(spark, d).filter("l_returnflag = 'R'")
-    return spatial_exists(order_boxes(spark, d), right, "intersects", GRID, negate=True).select("fid", "grant_id")
+    """Order boxes that do not even touch a box of an item."""
+    return spatial_exists(order_boxes(spark, d), item_boxes(spark, d), "intersects", GRID, negate=True).select("fid", "grant_id")
 
 
 @query
