@@ -32,14 +32,17 @@ def pivot_categories(
 ) -> DataFrame:
     """One row per feature with one area column per category, 0 where the feature has none of it.
 
-    The sum per category and the pivot are one aggregation, so that the areas are shuffled once, by feature.
+    The sum per category and the pivot are one aggregation, so that the areas are shuffled once, by feature. Each label is
+    looked up once per row, and columns are told apart by its number.
     A NULL or unknown label adds to no column, but its feature keeps a row.
     """
     kind = "double" if as_double else AREA
     value = f"cast({area} as double)" if as_double else area
+    code = F.array_position(F.array(*map(F.lit, CATEGORIES)), F.col(category)).cast("int")
+    df = df.select(*keys, area, code.alias("_code"))
     columns = []
-    for label, name in CATEGORIES.items():
-        total = _rounded(f"sum(case when {category} = '{label}' then {value} end)")
+    for i, name in enumerate(CATEGORIES.values()):
+        total = _rounded(f"sum(case when _code = {i + 1} then {value} end)")
         columns.append(F.expr(f"coalesce(cast({total} as {kind}), cast(0 as {kind}))").alias(name))
     return df.groupBy(*keys).agg(*columns)
 
