@@ -128,6 +128,15 @@ def tile(geom: Column | str, size: Column | float, margin: float = 0.0) -> Colum
     return _fn("tile", geom, _real(size), _real(margin))
 
 
+def cover(geom: Column | str, size: Column | float, margin: float, top: Column | int) -> Column:
+    """Array of (level, ix, iy, geom, envelope): cells of a quadtree, ``size`` times two to the level wide, up to ``top``.
+
+    A cell wholly inside, with the margin around it, comes once, on the widest such level and without geometry; what is left
+    comes as pieces in cells of level 0.
+    """
+    return _fn("cover", geom, _real(size), _real(margin), (top if isinstance(top, Column) else F.lit(top)).cast("int"))
+
+
 def collect(polygons: Column | str) -> Column:
     """One multi-polygon from an array of disjoint polygons, without an overlay."""
     return _fn("collect", polygons)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landcarbon.functions import geo
 from landcarbon.functions.categories import CONDITIONS
-from landcarbon.operators.grid import Grid, cell_extents, crowded_cells, divided_tiles, tiles
+from landcarbon.operators.grid import Grid
+from landcarbon.session import cut_lineage
 
-_PART = ["_ix", "_iy", "_k", "_sx", "_sy"]
+# Levels of the pyramid above the grid's cells, and of the division of crowded cells below them.
+TOP, FINEST = 20, 12
 
 
 def share(count: str, total: str, integer: bool) -> Column:
@@ -34,11 +38,43 @@ def condition_shares(
     return counted.select(*keys, *(share(name, "_total", integer).alias(name) for name in CONDITIONS.values()))
 
 
+def _pyramid(counted: DataFrame, place: list[str], top: Column | int) -> DataFrame:
+    """Counts per cell and condition on all levels from 0 to ``top``: (place, level, cx, cy, condition, n)."""
+    tops = top if isinstance(top, Column) else F.lit(top)
+    levels = counted.withColumn("level", F.explode(F.sequence(F.lit(0), tops.cast("int"))))
+    at = {c: F.expr(f"shiftright({c}, level)") for c in ("cx", "cy")}
+    return levels.withColumns(at).groupBy(*place, "level", "cx", "cy", "condition").agg(F.sum("n").alias("n"))
+
+
+def _divisions(placed: DataFrame, pieces: DataFrame, grid: Grid) -> DataFrame | None:
+    """Cells where too many points meet too many pieces: (ix, iy, k, top), with k = 2 ** top parts per side; None if there are none.
+
+    The parts follow the number of points alone. A polygon has about 4 k border parts there, and its inside comes as few counts.
+    """
+    n0 = placed.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n0"))
+    n1 = pieces.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n1"))
+    hot = n0.join(n1, ["cx", "cy"]).filter(F.col("n0").cast("double") * F.col("n1") > grid.crowded_pairs)
+    wanted = F.ceil(F.log2(F.sqrt(F.col("n0") / F.lit(float(grid.part_features)))))
+    hot = hot.withColumn("top", F.least(F.greatest(wanted, F.lit(0)), F.lit(FINEST)).cast("int")).filter("top > 0")
+    hot = cut_lineage(hot.select(F.col("cx").alias("hx"), F.col("cy").alias("hy"), F.expr("shiftleft(1L, top)").alias("k"), "top"))
+    return None if hot.isEmpty() else hot
+
+
+def _tested(placed: DataFrame, pieces: DataFrame, place: list[str], key: str) -> DataFrame:
+    """Points and pieces of a cell, point by point."""
+    x, y = F.col("x"), F.col("y")
+    inside_envelope = (x > F.col("minx")) & (x < F.col("maxx")) & (y > F.col("miny")) & (y < F.col("maxy"))
+    met = placed.join(pieces, place).filter(inside_envelope & geo.within(geo.point(x, y), F.col("geom")))
+    return met.select(key, "condition", "n")
+
+
 def points_in_polygons(polygons: DataFrame, points: DataFrame, grid: Grid, key: str = "fid") -> DataFrame:
-    """Points strictly inside polygons, as (key, condition, n). Points on a boundary are outside.
+    """Points strictly inside polygons, as (key, condition, n); a key may have several rows of a condition, to be summed.
 
-    Equal points are counted before the join. Polygons are cut to cells a little wider than the grid's, so that a
-    point on a cell border is still inside the piece.
+    Points on a boundary are outside. Equal points are counted first. A polygon takes the counts of the cells wholly inside
+    it from a pyramid of counts per cell and condition, as wide cells as possible, and meets single points in its border
+    cells only. Border cells with very many points are divided, and counted in the same way.
+    Cells reach a little beyond their borders, so that a point on a cell border is still inside the piece.
     """
     geo.register(polygons.sparkSession)
     size = float(grid.size)
@@ -47,28 +83,42 @@ def points_in_polygons(polygons: DataFrame, points: DataFrame, grid: Grid, key:
     placed = placed.groupBy(F.col("minx").alias("x"), F.col("miny").alias("y"), "condition").agg(
         F.count(F.lit(1)).alias("n")
     )
-    placed = placed.withColumns({f"_i{a}": F.floor(F.col(a) / F.lit(size)).cast("long") for a in "xy"})
-    pieces = tiles(polygons.select(key, "geom"), size, margin)
-    hot = crowded_cells(
-        placed.select("_ix", "_iy", F.lit(0.0).alias("extent")),
-        cell_extents(geo.with_envelope(polygons.select("geom")), size),
-        grid,
-    )
-    pieces = divided_tiles(pieces, hot, grid, margin / 1024)
+    placed = cut_lineage(placed.withColumns({f"c{a}": F.floor(F.col(a) / F.lit(size)).cast("long") for a in "xy"}))
+    cells = cut_lineage(polygons.select(key, F.inline(geo.cover("geom", size, margin, TOP))).withColumnsRenamed({"ix": "cx", "iy": "cy"}))
+    # One number: the widest cells that are in use.
+    top = cells.filter("geom is null").agg(F.max("level")).first()[0]
+    found = []
+    if top is not None:
+        sums = _pyramid(placed, [], top)
+        found.append(cells.filter("geom is null").select(key, "level", "cx", "cy").join(sums, ["level", "cx", "cy"]).select(key, "condition", "n"))
+    pieces = cells.filter("geom is not null").drop("level")
+    hot = _divisions(placed, pieces, grid)
     if hot is None:
-        placed = placed.withColumns({"_k": F.lit(1), "_sx": F.lit(0), "_sy": F.lit(0)})
+        found.append(_tested(placed, pieces, ["cx", "cy"], key))
     else:
-        placed = placed.join(hot, ["_ix", "_iy"], "left").withColumn("_k", F.coalesce("_k", F.lit(1)).cast("long"))
-        steps = {}
-        for axis in "xy":
-            # The same cells as the finer tiles have, counted over the whole plane.
-            fine = F.floor(F.col(axis) / (F.lit(size) / F.col("_k"))).cast("long") - F.col(f"_i{axis}") * F.col("_k")
-            steps[f"_s{axis}"] = F.least(F.greatest(fine, F.lit(0)), F.col("_k") - 1)
-        placed = placed.withColumns(steps)
-    x, y = F.col("x"), F.col("y")
-    inside_envelope = (x > F.col("minx")) & (x < F.col("maxx")) & (y > F.col("miny")) & (y < F.col("maxy"))
-    met = placed.join(pieces, _PART).filter(inside_envelope & geo.within(geo.point(x, y), F.col("geom")))
-    return met.select(key, "condition", "n")
+        at = (F.col("cx") == F.col("hx")) & (F.col("cy") == F.col("hy"))
+        found.append(_tested(placed.join(hot, at, "left_anti"), pieces.join(hot, at, "left_anti"), ["cx", "cy"], key))
+        found += _in_parts(placed.join(hot, at), pieces.join(hot, at), size, margin / 1024, key)
+    return reduce(DataFrame.unionByName, found)
+
+
+def _in_parts(placed: DataFrame, pieces: DataFrame, size: float, margin: float, key: str) -> list[DataFrame]:
+    """Counts in divided cells: parts wholly inside from a pyramid over the parts, the others point by point."""
+    step = F.lit(size) / F.col("k")
+    # The same parts as the quadtree has, counted over the whole plane and held inside the cell.
+    part = {
+        f"c{a}": F.least(F.greatest(F.floor(F.col(a) / step).cast("long"), F.col(f"h{a}") * F.col("k")), (F.col(f"h{a}") + 1) * F.col("k") - 1)
+        for a in "xy"
+    }
+    placed = placed.withColumns(part)
+    cut = pieces.select(key, "hx", "hy", "k", "top", F.inline(geo.cover("geom", step, margin, F.col("top")))).withColumnsRenamed({"ix": "cx", "iy": "cy"})
+    inside = [F.expr(f"shiftright(c{a}, top - level) = h{a}") for a in "xy"]
+    cut = cut_lineage(cut.filter(inside[0] & inside[1]))
+    place = ["hx", "hy", "cx", "cy"]
+    sums = _pyramid(placed, ["hx", "hy"], F.col("top"))
+    whole = cut.filter("geom is null").select(key, "hx", "hy", "level", "cx", "cy").join(sums, [*place, "level"]).select(key, "condition", "n")
+    border = cut.filter("geom is not null").select(key, *place, "geom", "minx", "miny", "maxx", "maxy")
+    return [whole, _tested(placed.select(*place, "x", "y", "condition", "n"), border, place, key)]
 
 
 def point_condition_share(

@@ -199,6 +199,35 @@ def test_points_strictly_inside(spark, field, grid):
     assert got == want
 
 
+@pytest.mark.parametrize("grid", [Grid(64.0), Grid(16.0), Grid(1000.0, crowded_pairs=1000, part_features=4), Grid(1000.0, crowded_pairs=1, part_features=1)])
+def test_many_points_under_overlapping_polygons(spark, grid):
+    """Boxes and triangles over one dense place, also with negative coordinates and points on every border, and copies of points."""
+    geo.register(spark)
+    points = spark.range(12000).select(
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("c"), F.col("id") % 3)).alias("condition"),
+        geo.point(F.col("id") % 100 * 4 - 200, F.floor(F.col("id") % 8100 / 100) * 4 - 160).alias("geom"),
+    )
+    x, y, w = (F.col("id") * 37 % 300 - 220).cast("double"), (F.col("id") * 53 % 240 - 180).cast("double"), (F.col("id") % 7 * 40 + 4).cast("double")
+    triangle = geo.from_text(F.format_string("POLYGON ((%s %s, %s %s, %s %s, %s %s))", x, y, x + w, y, x, y + w, x, y))
+    polygons = spark.range(60).select("id", F.when(F.col("id") % 2 == 0, geo.box(x, y, x + w, y + w)).otherwise(triangle).alias("geom"))
+    got = points_in_polygons(polygons, points, grid, "id").groupBy("id", "condition").agg(F.sum("n").alias("n"))
+    want = polygons.join(points.select("condition", F.col("geom").alias("p")), geo.within("p", "geom")).groupBy("id", "condition").agg(F.count("*").alias("n"))
+    rows = lambda df: {(r.id, r.condition): r.n for r in df.collect()}
+    assert rows(got) == rows(want) and got.count() > 100
+    assert points_in_polygons(polygons.limit(0), points, grid, "id").count() == 0
+    assert points_in_polygons(polygons, points.limit(0), grid, "id").count() == 0
+
+
+def test_insides_come_from_counts(spark):
+    """A wide box takes few counts, on several levels, however many points are inside; only border points are tested."""
+    geo.register(spark)
+    box = spark.range(1).select("id", geo.box(F.lit(1.0), F.lit(1.0), F.lit(1023.0), F.lit(1023.0)).alias("geom"))
+    cells = box.select(F.inline(geo.cover("geom", 8.0, 0.125, 20)))
+    levels = {(r.level, r.whole): r.n for r in cells.groupBy("level", F.isnull("geom").alias("whole")).agg(F.count("*").alias("n")).collect()}
+    assert levels[(0, False)] == 4 * 127 and max(k for k, whole in levels if whole) >= 5
+    assert sum(4**level * n for (level, _), n in levels.items()) == 128**2
+
+
 @pytest.mark.parametrize("grid", [GRID, DIVIDED, Grid(500.0)])
 def test_clip_equals_whole_intersections(field, grid):
     marks = field.select(
