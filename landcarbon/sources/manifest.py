@@ -33,6 +33,35 @@ def _files(spark: SparkSession, folder: str) -> dict[str, int]:
     return {name: size for name, size in listed if not name.startswith(("_", "."))}
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place, over an older one, in one step."""
+    target, _ = _path(spark, path)
+    folder, _, file = path.rpartition("/")
+    draft, fs = _path(spark, f"{folder}/.{file}.{uuid.uuid4().hex}")
+    stream = fs.create(draft)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    # The rename of a file context replaces in one step; that of a file system would have to delete first.
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsparkSession.sessionState().newHadoopConf())
+    how = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    how[0] = hadoop.Options.Rename.OVERWRITE
+    context.rename(draft, target, how)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, through Spark, which reads from any store; an error if it is not there."""
+    target, fs = _path(spark, path)
+    if not fs.exists(target):
+        raise LookupError(f"nothing is published as {path}")
+    return spark.read.text(path, wholetext=True).collect()[0].value
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    path, fs = _path(spark, folder)
+    return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+
 def publish_manifest(spark: SparkSession, base: str, name: str, run: str, tables: list[str]) -> None:
     """Make one run of several tables, all of them written, the newest of ``name``."""
     listed = {}
@@ -44,17 +73,7 @@ def publish_manifest(spark: SparkSession, base: str, name: str, run: str, tables
         schema = spark.read.parquet(f"{base}/{folder}").schema
         listed[table] = {"folder": folder, "schema": schema.jsonValue(), "files": files}
     text = json.dumps({"run": run, "tables": listed})
-    target, _ = _path(spark, f"{base}/{name}.manifest")
-    draft, fs = _path(spark, f"{base}/.{name}.{uuid.uuid4().hex}")
-    stream = fs.create(draft)
-    stream.write(bytearray(text.encode()))
-    stream.close()
-    # The rename of a file context replaces in one step; that of a file system would have to delete first.
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    context = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsparkSession.sessionState().newHadoopConf())
-    how = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
-    how[0] = hadoop.Options.Rename.OVERWRITE
-    context.rename(draft, target, how)
+    put_text(spark, f"{base}/{name}.manifest", text)
 
 
 def read_manifest(spark: SparkSession, base: str, name: str) -> dict:

@@ -217,6 +217,21 @@ CHANGES = """all_rows AS (
 prev AS (SELECT grant_id, centroid FROM all_rows WHERE fy < 1997 AND grant_id IS NOT NULL)"""
 
 
+# Two runs of orders by (customer, priority), and the status of each key by comparing its rows as sorted lists.
+KEYED = """base AS (
+  SELECT CASE WHEN o_custkey % 50 <> 0 THEN o_custkey END AS customer, o_orderpriority[1] AS priority, o_orderkey,
+         CAST(year(o_orderdate) AS INT) AS year, CAST(o_totalprice AS DECIMAL(20,2)) AS price FROM orders),
+early AS (SELECT * FROM base WHERE year > 1992),
+late AS (SELECT * REPLACE (CASE WHEN o_orderkey % 7 <> 0 THEN price END AS price) FROM base WHERE year % 2 = 0 OR o_orderkey % 11 > 3),
+a AS (SELECT customer, priority, count(*) AS n, list_sort(list({'k': o_orderkey, 'y': year, 'p': price})) AS r FROM early GROUP BY ALL),
+b AS (SELECT customer, priority, count(*) AS n, list_sort(list({'k': o_orderkey, 'y': year, 'p': price})) AS r FROM late GROUP BY ALL),
+compared AS (
+  SELECT coalesce(a.customer, b.customer) AS customer, coalesce(a.priority, b.priority) AS priority,
+         CASE WHEN a.n IS NULL THEN 'new' WHEN b.n IS NULL THEN 'gone' WHEN a.r IS NOT DISTINCT FROM b.r THEN 'same' ELSE 'changed' END AS status,
+         coalesce(a.n, 0) AS n_before, coalesce(b.n, 0) AS n_after
+  FROM a FULL JOIN b ON a.customer IS NOT DISTINCT FROM b.customer AND a.priority = b.priority)"""
+
+
 def grid_reference(x: str, y: str, digits: int) -> str:
     half = digits // 2
     e, n = f"({x} // 100000)", f"({y} // 100000)"
@@ -337,6 +352,9 @@ ORACLE: dict[str, str] = {
         FROM all_rows WHERE fy >= 1997)
       SELECT fid, grant_id, centroid, CAST(new_site AS VARCHAR) AS new_site,
              coalesce(NOT new_site AND centroid NOT IN (SELECT centroid FROM prev), false) AS changed FROM flagged""",
+    "changed_keys": f"WITH {KEYED} SELECT * FROM compared",
+    "rows_of_changed_keys": f"""WITH {KEYED} SELECT late.* FROM late JOIN compared c
+      ON late.customer IS NOT DISTINCT FROM c.customer AND late.priority = c.priority WHERE status IN ('new', 'changed')""",
     "newest_snapshot": f"""WITH {ORD} SELECT fid, grant_id, CAST(financial_year_end AS INT) AS financial_year_end
       FROM ord WHERE financial_year_end >= 2000""",
     "snapshot_runs": f"""WITH {ORD}, counted AS (

@@ -27,6 +27,7 @@ from landcarbon.plans.reporting import in_report_order, numbered, report_by_gran
 from landcarbon.session import cut_lineage, shared_folder
 from landcarbon.sources import tables
 from landcarbon.sources.celled_map import open_celled_map, write_celled_map
+from landcarbon.sources.keyed_snapshots import key_changes, keyed_runs, open_keyed, rows_to_redo, write_keyed
 from landcarbon.sources.manifest import open_latest
 from landcarbon.sources.snapshots import latest_snapshot, publish_latest, read_snapshot, run_ids, write_snapshot, write_table
 from standins.inputs import (
@@ -444,6 +445,34 @@ def recreated_table(spark, d):
     return write_table(df.filter("financial_year_end >= 2000"), path)
 
 
+def _two_runs(spark, d):
+    """The orders as two runs keyed by (customer, priority): the second without odd years, with other prices where 7 divides the id."""
+    base = f"{shared_folder(spark)}/keyed-{uuid.uuid4().hex}"
+    df = table(spark, d, "orders").select(
+        F.when(F.col("o_custkey") % 50 != 0, F.col("o_custkey")).alias("customer"),
+        F.substring("o_orderpriority", 1, 1).alias("priority"),
+        "o_orderkey",
+        F.year("o_orderdate").alias("year"),
+        F.col("o_totalprice").cast("decimal(20,2)").alias("price"),
+    )
+    late = df.filter("year % 2 = 0 or o_orderkey % 11 > 3")
+    late = late.withColumn("price", F.when(F.col("o_orderkey") % 7 == 0, F.lit(None)).otherwise(F.col("price")))
+    write_keyed(df.filter("year > 1992"), base, "orders", date(2024, 9, 4), ["customer", "priority"])
+    write_keyed(late, base, "orders", date(2025, 9, 4), ["customer", "priority"])
+    other = spark.newSession()
+    return [open_keyed(other, base, "orders", run) for run in keyed_runs(other, base, "orders")]
+
+
+@query
+def changed_keys(spark, d):
+    return key_changes(*_two_runs(spark, d))
+
+
+@query
+def rows_of_changed_keys(spark, d):
+    return rows_to_redo(*_two_runs(spark, d))
+
+
 # --- geometry -------------------------------------------------------------------------------------------------
 
 
