@@ -60,6 +60,22 @@ PLAIN = (
     ("ms-pl", "microsoft public licen[cs]e|ms pl", "microsoft public|ms pl"),
     ("beerware", "the beer ware licen[cs]e", "beer ware"),
 )
+# Sentences that stand in license texts and notices themselves, each with its keyword.
+NOTICES = (
+    ("bsd-3-clause", "nor the names? of (?:its|any|other) contributors may be used to endorse or promote products", "nor the name"),
+    ("bsd-3-clause", "names? of the (?:author|authors|copyright holder|copyright holders) may not be used to endorse or promote products", "name of the|names of the"),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment", "all advertising"),
+    ("isc", "permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted", "permission to use"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable", "this software is provided"),
+    ("boost", "permission is hereby granted free of charge to any person or organi[sz]ation obtaining a copy of the software", "permission is hereby"),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software", "anyone is free"),
+    ("x11", "(?:x11|x consortium) licen[cs]e", "x11|x consortium"),
+    ("mit", "(?:dual )?licensed under (?:the terms of )?(?:the )?mit", "licensed under|dual licensed"),
+    ("cc0", "creativecommons org publicdomain zero 1 0", "creativecommons"),
+    ("public-domain", "creativecommons org (?:publicdomain mark 1 0|licenses publicdomain)", "creativecommons"),
+    ("public-domain", "no copyright is claimed|has been dedicated to the public domain|waives? all copyright", "no copyright|has been dedicated|waive"),
+    ("proprietary", "unauthori[sz]ed copying of (?:this|these) files? (?:via any medium )?is strictly prohibited", "unauthori"),
+)
 CC_PARTS = {"by": "attribution", "nc": "non ?commercial", "sa": "share ?alike", "nd": "no ?deriv(?:ative)?s?(?: works)?"}
 CC_KINDS = ("by", "by sa", "by nc", "by nd", "by nc sa", "by nc nd")
 CC_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
@@ -70,19 +86,27 @@ def _words(pattern: str) -> re.Pattern[bytes]:
 
 
 def _rules() -> list[tuple[int, str, float, list[str], re.Pattern[bytes]]]:
-    """(priority, label, weight, keywords, pattern), the strongest first; some 300 of them."""
+    """(priority, label, weight, keywords, pattern), the strongest first."""
     out = [(9, label, 1.0, [phrase], _words(phrase)) for phrase, label in PHRASES]
     for name, names, keys, versions in VERSIONED:
         keys = keys.split("|")
+        full = "|".join(n for n in names.split("|") if "licen" in n)
         for version in versions:
             label, exact = f"{name}-{version.replace(' ', '.')}", version
-            short = version.removesuffix(" 0")
-            number = f"(?:{exact}|{short})" if short != exact else exact
-            out.append((8, f"{label}-or-later", 0.95, keys, _words(f"(?:{names}) (?:version |v )?v?{number} (?:or (?:any )?later(?: version)?|plus)")))
-            out.append((8, f"{label}-only", 0.95, keys, _words(f"(?:{names}) (?:version |v )?v?{number} only")))
-            out.append((7, label, 0.9, ["spdx"], _words(f"spdx licen[cs]e identifier {name} {exact}")))
+            # 2 and 2.0 are the same version.
+            number = f"(?:{exact}|{version[0]})" if version.endswith(" 0") else exact if " " in exact else f"{exact}(?: 0)?"
+            numbered = f"(?:{names}) (?:version |v )?v?{number}"
+            published = f"(?:{full}) as published by the free software foundation(?: inc)? (?:either )?version {number}(?: of the licen[cs]e)?"
+            out.append((8, f"{label}-or-later", 0.95, keys, _words(f"{numbered}(?: of the licen[cs]e)? (?:or (?:at your option )?(?:any )?(?:later|newer)(?: version)?|and later|plus)")))
+            out.append((8, f"{label}-only", 0.95, keys, _words(f"{numbered} only")))
+            if "gnu" in full:
+                out.append((8, f"{label}-or-later", 0.95, keys, _words(f"{published} or at your option any later version")))
+                out.append((7, label, 0.9, keys, _words(published)))
+            out.append((7, label, 0.9, ["spdx"], _words(f"spdx licen[cs]e identifier {name} {number}(?! 0| or later| only)")))
             out.append((6, label, 0.8, keys, _words(f"(?:{names}) (?:version |v )v?{number}")))
-            out.append((5, label, 0.7, keys, _words(f"(?:{names.split('|')[-1]}) ?v?{exact}")))
+            out.append((5, label, 0.7, keys, _words(f"(?:{names.split('|')[-1]}) ?v?{number if ' ' not in exact else exact}")))
+            if full:
+                out.append((6, label, 0.8, keys, _words(f"(?:{full}) v?{number if ' ' not in exact else exact}")))
         out.append((2, name, 0.4, keys, _words("|".join(n for n in names.split("|") if " " in n) or names)))
     for kind in CC_KINDS:
         parts = kind.split()
@@ -98,6 +122,7 @@ def _rules() -> list[tuple[int, str, float, list[str], re.Pattern[bytes]]]:
     for label, pattern, keys in PLAIN:
         out.append((7, label, 0.9, ["spdx"], _words(f"spdx licen[cs]e identifier {label.replace('-', ' ')}")))
         out.append((3, label, 0.6, keys.split("|"), _words(pattern)))
+    out += [(4, label, 0.8, keys.split("|"), _words(pattern)) for label, pattern, keys in NOTICES]
     return sorted(out, key=lambda r: -r[0])
 
 

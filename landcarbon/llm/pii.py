@@ -285,7 +285,7 @@ def _tag_spans(tags: np.ndarray, offset: int, text: str) -> list[tuple[int, int,
 
 
 def training_windows(docs: DataFrame, limit: int = SAMPLE_WINDOWS, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Character classes and tags of a bounded sample of windows, in the order of a hash."""
+    """Character classes and tags of a bounded sample of different windows, in the order of a hash."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -304,7 +304,7 @@ def training_windows(docs: DataFrame, limit: int = SAMPLE_WINDOWS, id_col: str =
                         keys.append(hashlib.blake2b(text[s : s + WIDTH].encode(), digest_size=8).digest())
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in (keys, chars, tags)], ["key", "chars", "tags"])
 
-    rows = map_arrow(docs.select(id_col, text_col), cut, "key binary, chars binary, tags binary").orderBy("key", "chars", "tags").limit(limit).collect()
+    rows = map_arrow(docs.select(id_col, text_col), cut, "key binary, chars binary, tags binary").distinct().orderBy("key", "chars", "tags").limit(limit).collect()
     as_rows = lambda name: np.frombuffer(b"".join(bytes(r[name]) for r in rows), np.uint8).reshape(len(rows), WIDTH).astype(np.int64)
     return as_rows("chars"), as_rows("tags")
 

@@ -4,7 +4,8 @@ Strong spans (assigned secrets, access keys, long hex strings) are reported as t
 identifier, a secret or an endpoint that means little alone. They are linked by an interval join within a scope: the
 parts of a text are sorted once, and a forward and a backward sweep carry the nearest identifier, secret and endpoint,
 so a part meets its complements without pairing up with each of them. A weak part is reported only where they occur:
-a weak secret beside an identifier or an endpoint, a weak identifier beside a secret, an endpoint beside both.
+a weak secret beside an identifier or an endpoint, a weak identifier beside a secret, an endpoint beside both. Parts that
+overlap do not complete each other, so an identifier whose value looks like a secret is not its own secret.
 
 Everything of a row is in its text, so nothing is shuffled. Positions are code points, end exclusive. A null text
 counts as empty, repeated rows are scanned one by one, other columns stay out of the way.
@@ -85,21 +86,30 @@ def _is(role: str, x: str = "x") -> str:
     return f"{x}.rank in ({', '.join(str(i) for i, k in enumerate(KINDS) if k[1] == role)})"
 
 
-def linked(scope: int) -> str:
-    """The parts to report, from ``parts``: strong ones, and weak ones beside their complements."""
+def _swept(at: str, until: str, scope: int) -> str:
+    """The parts, each with the roles that lie within ``scope`` before it without overlapping it, along one direction.
+
+    Every part is noted at ``until``, its far end, and looked at when the sweep reaches ``at``, its near end.
+    """
     roles = ("id", "secret", "endpoint")
-    far = 1 << 30
+    event = "transform(ps, p -> named_struct('pos', cast({} as bigint), 'look', {}, 'start', p.start, 'rank', p.rank, 'end', p.end))"
     state = "named_struct(" + ", ".join(f"'{r}', {{}}" for r in roles) + ")"
-    seen = state.format(*(f"if({_is(r)}, greatest(acc.{r}, x.end), acc.{r})" for r in roles))
-    near = ", ".join(f"'{r}', x.start - acc.{r} <= {scope}" for r in roles)
-    kinds = "start:int,rank:int,end:int,id:boolean,secret:boolean,endpoint:boolean"
-    ahead = scan("ps", state.format(*[str(-far)] * 3), f"struct<{kinds}>", seen, f"named_struct('start', x.start, 'rank', x.rank, 'end', x.end, {near})")
-    seen = state.format(*(f"if({_is(r)}, x.start, acc.{r})" for r in roles))
-    near = ", ".join(f"'{r}', x.{r} or acc.{r} - x.end <= {scope}" for r in roles)
-    both = scan(f"reverse({ahead})", state.format(*[str(far)] * 3), f"struct<{kinds}>", seen, f"named_struct('start', x.start, 'rank', x.rank, 'end', x.end, {near})")
-    weak = {"weak_id": "s.secret", "weak_secret": "(s.id or s.endpoint)", "endpoint": "(s.id and s.secret)"}
-    reported = " or ".join([f"s.rank < {STRONG}", *(f"s.rank = {NAMES.index(k)} and {v}" for k, v in weak.items())])
-    return f"reverse(transform(filter({both}, s -> {reported}), s -> named_struct('start', s.start, 'rank', s.rank, 'end', s.end)))"
+    seen = state.format(*(f"if(x.look = 0 and {_is(r)}, x.pos, acc.{r})" for r in roles))
+    near = ", ".join(f"'{r}', x.pos - acc.{r} <= {scope}" for r in roles)
+    out = "struct<start:int,rank:int,end:int,look:int,id:boolean,secret:boolean,endpoint:boolean>"
+    item = f"named_struct('start', x.start, 'rank', x.rank, 'end', x.end, 'look', x.look, {near})"
+    events = f"sort_array(concat({event.format(until, 0)}, {event.format(at, 1)}))"
+    return f"sort_array(filter({scan(events, state.format(*[f'{-(1 << 40)}L'] * 3), out, seen, item)}, s -> s.look = 1))"
+
+
+def linked(scope: int) -> str:
+    """The parts to report, from ``parts``: strong ones, and weak ones beside complements that they do not overlap."""
+    before, after = _swept("p.start", "p.end", scope), _swept("-p.end", "-p.start", scope)
+    has = {r: f"(s.b.{r} or s.a.{r})" for r in ("id", "secret", "endpoint")}
+    weak = {"weak_id": has["secret"], "weak_secret": f"({has['id']} or {has['endpoint']})", "endpoint": f"({has['id']} and {has['secret']})"}
+    reported = " or ".join([f"s.b.rank < {STRONG}", *(f"s.b.rank = {NAMES.index(k)} and {v}" for k, v in weak.items())])
+    both = f"zip_with({before}, {after}, (b, a) -> named_struct('b', b, 'a', a))"
+    return f"transform(filter({both}, s -> {reported}), s -> named_struct('start', s.b.start, 'rank', s.b.rank, 'end', s.b.end))"
 
 
 def with_spans(df: DataFrame, text_col: str = "text", out: str = "_spans", scope: int = SCOPE) -> DataFrame:

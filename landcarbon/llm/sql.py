@@ -16,7 +16,7 @@ def _kind(rank: int, pattern: str) -> str:
 
 
 def _near(role: str, x: str = "x") -> str:
-    return f"""exists (select 1 from parts y where y.rid = {x}.rid and y.rank in ({', '.join(_ROLES[role])}) and y.id <> {x}.id
+    return f"""exists (select 1 from parts y where y.rid = {x}.rid and y.rank in ({', '.join(_ROLES[role])}) and (y.e <= {x}.s or y.s >= {x}.e)
         and greatest(y.s, {x}.s) - least(y.e, {x}.e) <= {secret_scan.SCOPE})"""
 
 
