@@ -12,9 +12,12 @@ import itertools
 import pickle
 import re
 from collections.abc import Iterator
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -170,8 +173,24 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def automata(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> list:
-    """Broadcast automata of all items, one per block. Items without words are none; a null id is called "null"."""
+class Blocks(NamedTuple):
+    """The automata of all items as a staged table (block, made), one row per block."""
+
+    table: DataFrame
+    count: int
+
+    def groups(self) -> list[int]:
+        """First block of each group of ``BLOCKS_AT_ONCE``; one group even without items."""
+        return list(range(0, max(self.count, 1), BLOCKS_AT_ONCE))
+
+    def broadcast(self, first: int) -> Broadcast[list[bytes]]:
+        """The blocks of one group, of bounded size, for all tasks."""
+        rows = self.table.filter(F.col("block").between(first, first + BLOCKS_AT_ONCE - 1)).orderBy("block").collect()
+        return self.table.sparkSession.sparkContext.broadcast([bytes(row.made) for row in rows])
+
+
+def automata(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> Blocks:
+    """Automata of all items in blocks, staged. Items without words are none; a null id is called "null"."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,15 +211,19 @@ def automata(items: DataFrame, id_col: str = "item_id", text_col: str = "text",
     def build(table: pa.Table) -> pa.Table:
         rows = sorted(zip(table["line"].to_pylist(), table["items"].to_pylist(), table["whole"].to_pylist()))
         made = Automaton([(line.split(b" "), ids, whole) for line, ids, whole in rows], window)
-        return pa.table({"made": pa.array([made.dump()], pa.binary())})
+        return pa.table({"block": table["block"].slice(0, 1), "made": pa.array([made.dump()], pa.binary())})
+
+    grouped = pieces.withColumn("block", F.pmod(F.xxhash64("line"), F.lit(blocks)).cast("long"))
+    built = grouped.groupBy("block").applyInArrow(build, "block long, made binary")
+    return Blocks(staged(built), blocks)
 
-    grouped = pieces.withColumn("block", F.pmod(F.xxhash64("line"), F.lit(blocks)))
-    built = grouped.groupBy("block").applyInArrow(build, "made binary")
-    return [items.sparkSession.sparkContext.broadcast(row.made) for row in built.toLocalIterator()]
 
+def matches(docs: DataFrame, blocks: Blocks, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = ()) -> DataFrame:
+    """Every document with its hits: (doc_id, text, keep..., n_words, spans in words, items).
 
-def matches(docs: DataFrame, blocks: list, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = ()) -> DataFrame:
-    """Every document with its hits: (doc_id, text, keep..., n_words, spans in words, items)."""
+    One pass over the documents per group of blocks, each staged before the next one, so that neither the driver nor a task
+    ever holds more automata than those of a group. Null has no words, repeated rows are matched one by one.
+    """
     kinds = dict(docs.dtypes)
     columns = [id_col, text_col, *(c for c in keep if c not in (id_col, text_col))]
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns)
@@ -208,9 +231,9 @@ def matches(docs: DataFrame, blocks: list, id_col: str = "doc_id", text_col: str
     span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
     df = docs.select(*columns)
 
-    def scan_with(parts: list):
+    def scan_with(group: Broadcast[list[bytes]]):
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            made = [Automaton.load(p.value) for p in parts]
+            made = [Automaton.load(data) for data in group.value]
             for batch in batches:
                 old = batch.schema.names
                 before = zip(*(batch.column(old.index(c)).to_pylist() for c in ("_spans", "_items"))) if "_spans" in old else itertools.repeat(([], []))
@@ -231,8 +254,13 @@ def matches(docs: DataFrame, blocks: list, id_col: str = "doc_id", text_col: str
 
         return scan
 
-    for k in range(0, max(len(blocks), 1), BLOCKS_AT_ONCE):
-        df = map_arrow(staged(df) if k else df, scan_with(blocks[k : k + BLOCKS_AT_ONCE]), schema)
+    last = None
+    for first in blocks.groups():
+        if last is not None:
+            df = staged(df)
+            last.destroy()
+        last = blocks.broadcast(first)
+        df = map_arrow(df, scan_with(last), schema)
     return df
 
 
@@ -252,12 +280,14 @@ def report(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
-def cleaned(docs: DataFrame, blocks: list, max_coverage: float = 0.5, text_col: str = "text", length_col: str | None = "n_chars", id_col: str = "doc_id") -> DataFrame:
+def cleaned(docs: DataFrame, blocks: Blocks, max_coverage: float = 0.5, text_col: str = "text", length_col: str | None = "n_chars", id_col: str = "doc_id") -> DataFrame:
     """Documents without benchmark passages, in the columns of ``docs``.
 
     Matched spans are cut out of the text, and a document goes if they cover more than ``max_coverage`` of its words.
-    Removal is repeated on changed documents until no window is left, since what stood around a span now meets. Columns
-    go by number meanwhile, so that they may have any names. A null text has no words and stays.
+    Removal is repeated on changed documents until no window is left, since what stood around a span now meets: within a task
+    where all blocks are one group, else in rounds over the documents still changed, with the same result. Columns
+    go by number meanwhile, so that they may have any names. A null text has no words and stays, repeated rows are cleaned
+    one by one.
     """
     names = docs.columns
     docs = docs.toDF(*(f"c{i}" for i in range(len(names))))
@@ -267,9 +297,23 @@ def cleaned(docs: DataFrame, blocks: list, max_coverage: float = 0.5, text_col:
     found = matches(docs, blocks, id_col, text_col, columns)
     covered = F.aggregate("_spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
     stays = found.filter(covered <= F.col("_words") * max_coverage)
-    schema = ", ".join(f"`{c}` {k}" for c, k in docs.dtypes)
-    source = stays.schema.names
-    place, length_at = columns.index(text_col), columns.index(length_col) if length_col in columns else None
+    if len(blocks.groups()) == 1:
+        return _cut(stays, docs, text_col, length_col, blocks.broadcast(0)).toDF(*names)
+    done = []
+    while True:
+        stays = staged(stays)
+        done.append(stays.filter(F.size("_spans") == 0).select(*columns))
+        hit = stays.filter(F.size("_spans") > 0)
+        if hit.isEmpty():
+            return reduce(DataFrame.unionAll, done).toDF(*names)
+        stays = matches(_cut(hit, docs, text_col, length_col, None), blocks, id_col, text_col, columns)
+
+
+def _cut(found: DataFrame, docs: DataFrame, text_col: str, length_col: str | None, group: Broadcast[list[bytes]] | None) -> DataFrame:
+    """The columns of ``docs`` with the spans cut out of the text: once, or until the automata of a group find none."""
+    columns = docs.columns
+    source = found.schema.names
+    place, length_at = columns.index(text_col), columns.index(length_col) if length_col else None
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = None
@@ -277,7 +321,8 @@ def cleaned(docs: DataFrame, blocks: list, max_coverage: float = 0.5, text_col:
             spans = batch.column(source.index("_spans")).to_pylist()
             arrays = [batch.column(source.index(c)) for c in columns]
             if any(spans):
-                made = made or [Automaton.load(p.value) for p in blocks]
+                if made is None:
+                    made = [Automaton.load(data) for data in group.value] if group else []
                 texts = arrays[place].to_pylist()
                 lengths = arrays[length_at].to_pylist() if length_at is not None else None
                 for i, hit in enumerate(spans):
@@ -290,7 +335,7 @@ def cleaned(docs: DataFrame, blocks: list, max_coverage: float = 0.5, text_col:
                     arrays[length_at] = pa.array(lengths, arrays[length_at].type)
             yield pa.RecordBatch.from_arrays(arrays, columns)
 
-    return map_arrow(stays, remove, schema).toDF(*names)
+    return map_arrow(found, remove, ", ".join(f"`{c}` {k}" for c, k in docs.dtypes))
 
 
 def _without(text: str, spans: list[tuple[int, int]], made: list[Automaton]) -> str:

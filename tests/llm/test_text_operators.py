@@ -247,7 +247,7 @@ def test_a_weaker_detection_inside_a_stronger_one_goes():
     assert [f[3] for f in found] == ["a", "d", "c"]
 
 
-@pytest.mark.parametrize("block_words", [50_000, 40])
+@pytest.mark.parametrize("block_words", [50_000, 40, 5])
 def test_decontamination(spark, docs, empty, texts, block_words):
     r = random.Random(8)
     items = [(i, " ".join(r.choice(WORDS) for _ in range(n))) for i, n in enumerate([3, 12, 25, 25, 10, 2])] + [(90, None), (91, "")]
@@ -274,8 +274,11 @@ def test_decontamination(spark, docs, empty, texts, block_words):
         assert (row.n_words, row.n_hit, row.n_items, row.contaminated) == (len(words), len(hit), len(ids), bool(hit))
         assert row.items_sha256 == hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
     clean = decontaminate.cleaned(df, blocks)
+    # Cut in rounds over groups of blocks as within one task.
+    at_once = decontaminate.cleaned(df, decontaminate.automata(table))
+    assert (len(blocks.groups()) > 1) == (block_words == 5) and sorted(map(tuple, at_once.collect()), key=repr) == sorted(map(tuple, clean.collect()), key=repr)
     assert clean.columns == df.columns and not decontaminate.report(decontaminate.matches(clean, blocks)).filter("contaminated").count()
-    assert decontaminate.matches(empty, blocks).count() == 0 and decontaminate.automata(table.limit(0)) == []
+    assert decontaminate.matches(empty, blocks).count() == 0 and decontaminate.automata(table.limit(0)).table.count() == 0
 
 
 def test_quality_classifier(spark, empty):
