@@ -12,7 +12,7 @@ import base64
 import hashlib
 import heapq
 import itertools
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from landcarbon.llm.common import map_arrow
 
 LONG = 256
 CACHE = 300_000  # distinct pieces that a task keeps
-TOGETHER = 1 << 18  # characters of texts whose pieces are merged at once
+TOGETHER = 1 << 20  # characters of texts whose pieces are merged at once
 NONE = np.int64(1 << 40)
 
 
@@ -176,16 +176,17 @@ class Encoder:
         self.split = regex.compile(pattern).findall
         self.known: dict[str, tuple[int, ...]] = {}
 
-    def encode(self, texts: Iterable[str | None]) -> Iterator[list[int]]:
-        """Ids of each text; the new pieces of some texts together are merged at once, and no others are held meanwhile."""
-        rest = iter(texts)
-        while True:
+    def encode(self, texts: list[str | None]) -> Iterator[list[int]]:
+        """Ids of each text; the new pieces of some texts together are merged at once."""
+        texts = list(texts)
+        start = 0
+        while start < len(texts):
             split, size = [], 0
-            while size < TOGETHER and (text := next(rest, rest)) is not rest:
-                split.append(self.split(text or ""))
-                size += len(text or "")
-            if not split:
-                return
+            while start < len(texts) and size < TOGETHER:
+                text = texts[start] or ""
+                split.append(self.split(text))
+                size += len(text)
+                start += 1
             pieces = set().union(*split)
             new = list(pieces - self.known.keys())
             if len(self.known) + len(new) > CACHE:
@@ -205,7 +206,7 @@ def encoded(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(ranks, pattern)
         for batch in batches:
-            ids = pa.array(encoder.encode(value.as_py() for value in batch.column(1)), pa.list_(pa.int32()))
+            ids = pa.array(encoder.encode(batch.column(1).to_pylist()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
 
     return map_arrow(docs.select(id_col, text_col), run, f"doc_id {dict(docs.dtypes)[id_col]}, ids array<int>")
@@ -227,12 +228,11 @@ def round_trip(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_i
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): texts to ids and back in one pass, kept as digests."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()  # a worker may have served other stages before
         encoder = Encoder(ranks, pattern)
         digits = [str(i) for i in range(len(encoder.ranks.tokens))]
         for batch in batches:
             counts, coded, back = [], [], []
-            for ids in encoder.encode(value.as_py() for value in batch.column(1)):
+            for ids in encoder.encode(batch.column(1).to_pylist()):
                 counts.append(len(ids))
                 coded.append(hashlib.sha256(",".join(map(digits.__getitem__, ids)).encode()).hexdigest())
                 back.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
