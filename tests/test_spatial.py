@@ -9,7 +9,7 @@ from landcarbon.functions import geo
 from landcarbon.functions.geo import ENVELOPE
 from landcarbon.operators import footprint, overlap, overlay
 from landcarbon.operators.dissolve import connected_components, dissolve, multi
-from landcarbon.operators.grid import Grid, cell_extents, crowded_cells, spatial_exists, spatial_left_join, spatial_pairs, suggest_cell_size
+from landcarbon.operators.grid import Grid, cell_extents, crowded_cells, spatial_exists, spatial_left_join, spatial_pairs, suggest_cell_size, tiles
 from landcarbon.operators.points import points_in_polygons
 
 GRID = Grid(40.0)
@@ -362,3 +362,27 @@ def test_repair(spark, wkt, area):
     geo.register(spark)
     row = spark.range(1).select(geo.area(geo.make_valid(geo.from_text(F.lit(wkt)))).alias("area")).first()
     assert row.area == pytest.approx(area)
+
+
+# Ground in a cell of 40 m, and an edge along the border of the same cell.
+ANGLE = "POLYGON ((30 0, 60 0, 60 10, 40 10, 40 90, 30 90, 30 0))"
+
+
+def test_ground_and_a_touching_edge_in_one_cell(spark):
+    geo.register(spark)
+    df = spark.range(1).select("id", geo.from_text(F.lit(ANGLE)).alias("geom"))
+    pieces = tiles(df, 40.0).select("_ix", "_iy", geo.geometry_type("geom").alias("type"), geo.area("geom").alias("area"))
+    found = {(r._ix, r._iy, r.type): r.area for r in pieces.collect()}
+    assert (found[1, 0, "Polygon"], found[1, 0, "LineString"], found[1, 1, "LineString"]) == (200, 0, 0)
+    assert sum(found.values()) == 1100
+
+    later = spark.range(1).select("id", geo.box(50.0, 0.0, 70.0, 100.0).alias("geom"))
+    years = df.select(F.lit("a").alias("grant_id"), F.lit(2000).alias(FY), "geom").unionByName(
+        later.select(F.lit("b").alias("grant_id"), F.lit(2001).alias(FY), "geom")
+    )
+    left = {r.grant_id: r.area for r in overlap.subtract_higher_priority(years, GRID).select("grant_id", geo.area("geom").alias("area")).collect()}
+    assert left == {"a": 1000, "b": 2000}
+
+    spots = spark.createDataFrame([("x", 50.0, 5.0), ("x", 40.0, 50.0), ("x", 35.0, 85.0), ("x", 70.0, 5.0)], "condition string, x double, y double")
+    spots = spots.select("condition", geo.point(F.col("x"), F.col("y")).alias("geom"))
+    assert points_in_polygons(df, spots, GRID, "id").agg(F.sum("n")).first()[0] == 2
