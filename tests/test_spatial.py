@@ -99,6 +99,20 @@ def test_dissolve_is_the_union(field, grid):
         assert got[r[FY]][1] == pytest.approx(r.area, rel=1e-9)
 
 
+@pytest.mark.parametrize("few", [0, 3])
+def test_keys_of_few_and_of_many_features(field, monkeypatch, few):
+    df = field.withColumn("key", F.when(F.col("id") % 7 > 0, F.when(F.col("id") < 3, F.lit(9)).otherwise(F.col("id") % 3)))
+    totals = [F.count(F.lit(1)).alias("n"), F.round(F.sum(geo.area("geom")), 6).alias("area")]
+    # Keys of few features need no spatial join.
+    with monkeypatch.context() as none:
+        none.setattr("landcarbon.operators.dissolve.spatial_pairs", None)
+        at_once = {r.key: (r.n, r.area) for r in dissolve(df, ["key"], GRID).groupBy("key").agg(*totals).collect()}
+    counts = [r["count"] for r in df.groupBy("key").count().collect()]
+    assert min(counts) <= 3 < max(counts) and None in at_once
+    monkeypatch.setattr("landcarbon.operators.dissolve.FEW", few)
+    assert {r.key: (r.n, r.area) for r in dissolve(df, ["key"], GRID).groupBy("key").agg(*totals).collect()} == at_once
+
+
 def test_dissolve_keeps_a_null_key_together(field):
     df = field.withColumn(FY, F.when(F.col(FY) != 1, F.col(FY)))
     area = dissolve(df, [FY], GRID).filter(f"{FY} is null").agg(F.sum(geo.area("geom"))).first()[0]
