@@ -400,3 +400,12 @@ def test_ground_and_a_touching_edge_in_one_cell(spark):
     spots = spark.createDataFrame([("x", 50.0, 5.0), ("x", 40.0, 50.0), ("x", 35.0, 85.0), ("x", 70.0, 5.0)], "condition string, x double, y double")
     spots = spots.select("condition", geo.point(F.col("x"), F.col("y")).alias("geom"))
     assert points_in_polygons(df, spots, GRID, "id").agg(F.sum("n")).first()[0] == 2
+
+
+def test_equal_polygons_are_shuffled_once(spark, field):
+    df = field.select("id", "geom").unionByName(spark.range(2000, 2003).select("id", F.lit(None).cast("binary").alias("geom")))
+    kept = overlap.drop_equal(df, ["id"])
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "stage-" not in plan
+    assert kept.filter("geom is null").count() == 3
+    assert kept.filter("geom is not null").count() == field.select(geo.canonical("geom").alias("c")).distinct().count()
