@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from landcarbon.functions import geo
 from landcarbon.functions.geo import ENVELOPE
 from landcarbon.operators import overlap
-from landcarbon.operators.grid import TESTS, Grid, spatial_exists, spatial_hits, staged_shapes
+from landcarbon.operators.grid import TESTS, Grid, in_cells, spatial_exists, spatial_hits, staged_shapes
 
 
 def polygon(r):
@@ -82,3 +82,17 @@ def test_the_semi_join_reads_no_geometry(spark, field):
     scans = [line for line in plan.split("\n") if "FileScan" in line]
     assert scans and not any("geom#" in line for line in scans) and "lc_decide_overlaps" in plan
     assert hits.count() == 50 and not set(ENVELOPE) & set(hits.columns)
+
+
+def test_rasters_of_rectangles_do_not_travel(field, monkeypatch):
+    seen = []
+
+    def listed(sides, grid, real=in_cells):
+        seen.extend(sides.values())
+        return real(sides, grid)
+
+    monkeypatch.setattr("landcarbon.operators.grid.in_cells", listed)
+    shapes = staged_shapes(geo.with_shape(field.filter("id < 140")))
+    spatial_hits(shapes, shapes, "overlaps", Grid(10.0), ["_shape"]).count()
+    counted = {(r.box, r.none) for r in seen[0].select("box", F.col("raster").isNull().alias("none")).collect()}
+    assert counted == {(True, True), (False, False)}
