@@ -278,3 +278,13 @@ def test_a_run_without_rows_is_a_run(spark, tmp_path):
 def test_report_order(spark):
     df = frame(spark, [("b", "y"), ("a", "z"), ("a", "x")], "grant_id string, emission_factor_pre string")
     assert [tuple(r) for r in in_report_order(df).collect()] == [("a", "x"), ("a", "z"), ("b", "y")]
+
+
+def test_parts_of_an_input_are_bounded(spark, tmp_path, monkeypatch):
+    from standins import inputs
+
+    spark.range(200_000).coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
+    monkeypatch.setattr(inputs, "PART_BYTES", 50_000, raising=False)
+    df = inputs.table(spark, str(tmp_path), "t")
+    assert df.select(F.spark_partition_id()).distinct().count() > spark.sparkContext.defaultParallelism
+    assert df.count() == 200_000
