@@ -131,7 +131,9 @@ class Tokens:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [(text or "").encode().split() for text in texts]
         pieces = set().union(*split)
-        new = list(pieces - self.known.keys())
+        # One by one: a difference with the keys would walk over all that is known, for each batch.
+        known = self.known
+        new = [piece for piece in pieces if piece not in known]
         if len(self.known) + len(new) > CACHE:
             self.known, new = {}, list(pieces)
             self.words = {}
@@ -140,25 +142,35 @@ class Tokens:
 
     def _learn(self, pieces: list[bytes]) -> None:
         """Ids of new pieces. A word of plain letters goes to the merges at once, apart from the marks behind it."""
-        words, whole = self.words, []
+        words, known, whole = self.words, self.known, []
         for piece in pieces:
             word = piece.rstrip(MARKS)
-            if not word.isalpha() and not PLAIN(word.decode()):
-                whole.append(piece)
-                continue
-            tail = piece[len(word) :]
-            low = word.lower() if word.isascii() else word.decode().lower().encode()
-            ids = words.get(low)
-            if ids is None:
-                text = low.decode() if low.isascii() else low.decode().translate(self.shown)
-                ids = words[low] = pack_ids([t.id for t in self.merge(text)])
-            if tail:
+            if word.isalpha():  # ASCII letters only
+                low = word.lower()
+                ids = words.get(low)
+                if ids is None:
+                    ids = words[low] = self._merged(low.decode())
+            else:
+                text = word.decode()
+                if not PLAIN(text):
+                    whole.append(piece)
+                    continue
+                text = text.lower()
+                low = text.encode()
+                ids = words.get(low)
+                if ids is None:
+                    ids = words[low] = self._merged(text.translate(self.shown))
+            if len(word) < len(piece):
+                tail = piece[len(word) :]
                 if tail not in words:
                     words[tail] = self._each([tail.decode()])[0]
                 ids += words[tail]
-            self.known[piece] = ids
+            known[piece] = ids
         self.known.update(zip(whole, self._each([p.decode() for p in whole])))
 
+    def _merged(self, word: str) -> bytes:
+        return pack_ids([t.id for t in self.merge(word)])
+
     def _each(self, pieces: list[str]) -> list[bytes]:
         return [pack_ids(e.ids) for e in self.batch(pieces, add_special_tokens=False)]
 

@@ -422,3 +422,19 @@ def test_token_store(docs, empty, texts):
         want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
     assert [tuple(r) for r in got] == want and token_store.stored(empty, text, END_ID).count() == 0
+
+
+def test_known_pieces_are_not_walked():
+    from tokenizers import Tokenizer
+
+    text = vocabulary("word_bpe_49k.json").decode()
+
+    class Watched(dict):
+        def keys(self):
+            raise AssertionError("a batch walks over all known pieces")
+
+    made, library = token_store.Tokens(text), Tokenizer.from_str(text)
+    made.known = Watched()
+    for texts in (["Über die Brücke, naïve. 12 x2!", "River RIVER, river;"], ["river die ÜBER? naïve", None]):
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in made.encode(texts)] == want
