@@ -409,3 +409,43 @@ def test_equal_polygons_are_shuffled_once(spark, field):
     assert plan.count("Exchange hashpartitioning") == 1 and "stage-" not in plan
     assert kept.filter("geom is null").count() == 3
     assert kept.filter("geom is not null").count() == field.select(geo.canonical("geom").alias("c")).distinct().count()
+
+
+def test_collection_of_several_dimensions_is_cut(spark):
+    geo.register(spark)
+    text = "GEOMETRYCOLLECTION (POLYGON ((1 1, 15 1, 15 15, 1 15, 1 1)), LINESTRING (15 15, 25 15))"
+    df = spark.createDataFrame([(1, text)], "id long, t string").select("id", geo.from_text("t").alias("geom"))
+    cut = tiles(df, 10.0).groupBy(geo.geometry_type("geom").alias("kind")).agg(F.sum(geo.area("geom")).alias("area"), F.count(F.lit(1)).alias("n"))
+    assert {(r.kind, r.area, r.n) for r in cut.collect()} == {("Polygon", 196.0, 4), ("LineString", 0.0, 2)}
+
+
+def test_rectangles_are_clipped_as_other_polygons(spark):
+    """A rectangle and the same one with one more corner on a side give the same pieces."""
+    geo.register(spark)
+    sides = [(0, 0, 4, 4), (4, 0, 8, 4), (4, 4, 6, 6), (1, 1, 2, 3), (9, 9, 12, 12), (-1.5, 0.25, 7.5, 0.75)]
+    drawn = [(f"POLYGON (({a} {b}, {c} {b}, {c} {d}, {a} {d}, {a} {b}))", f"POLYGON (({a} {b}, {(a + c) / 2} {b}, {c} {b}, {c} {d}, {a} {d}, {a} {b}))") for a, b, c, d in sides]
+    df = spark.createDataFrame([(i, *t) for i, t in enumerate(drawn)], "id long, a string, b string")
+    df = df.select("id", geo.from_text("a").alias("box"), geo.from_text("b").alias("other"))
+    pairs = df.crossJoin(df.select(*(F.col(c).alias(f"r_{c}") for c in df.columns)))
+    found = pairs.select(geo.clip("box", "r_box").alias("x"), geo.clip("other", "r_other").alias("y"))
+    found = found.selectExpr("size(x) as m", "size(y) as n", "lc_equals(get(x, 0), get(y, 0)) as same", "lc_type(get(x, 0)) as k", "lc_type(get(y, 0)) as l").collect()
+    # A line with the further corner may come in two parts.
+    assert [r for r in found if r.m != r.n or r.m and not (r.same and r.k == r.l.removeprefix("Multi"))] == []
+    assert {r.k for r in found} == {None, "Point", "LineString", "Polygon"}
+    whole = [tiles(df.select("id", F.col(c).alias("geom")), 2.5).groupBy("id", "_ix", "_iy").agg(F.sum(geo.area("geom")).alias("area")) for c in ("box", "other")]
+    assert sorted(map(tuple, whole[0].collect())) == sorted(map(tuple, whole[1].collect()))
+
+
+def test_parts_of_an_overlay_follow_its_pieces(field, monkeypatch):
+    land = field.select(F.lit("a").alias("lc_level2"), F.lit("b").alias("lc_level3"), F.lit("c").alias("condition"), "geom")
+    work = field.select(F.col("id").alias("fid"), "geom")
+    result = lambda df: {(r.fid, r.category, round(r.area, 6)) for r in df.groupBy("fid", "category").agg(F.sum("area").alias("area")).collect()}
+    want = result(overlay.category_areas(work, land, GRID))
+    monkeypatch.setattr(overlay, "PART_PIECES", 4)
+    df = overlay.category_areas(work, land, GRID)
+    assert df.rdd.getNumPartitions() > 2 * field.sparkSession.sparkContext.defaultParallelism and result(df) == want
+
+
+def test_copies_are_found_without_sorting(field):
+    plan = geo.distinct_shapes(geo.with_shape(field.select("geom")))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
