@@ -96,3 +96,35 @@ def test_rasters_of_rectangles_do_not_travel(field, monkeypatch):
     spatial_hits(shapes, shapes, "overlaps", Grid(10.0), ["_shape"]).count()
     counted = {(r.box, r.none) for r in seen[0].select("box", F.col("raster").isNull().alias("none")).collect()}
     assert counted == {(True, True), (False, False)}
+
+
+def test_rectangles_with_vertices_on_their_sides(spark):
+    """What a union leaves of boxes in a row is a rectangle, of which no cells travel; what only has its envelope is none."""
+    geo.register(spark)
+    texts = {
+        "row": "POLYGON((0 0, 4 0, 8 0, 12 0, 12 8, 8 8, 4 8, 0 8, 0 0))",
+        "turned": "POLYGON((4 8, 0 8, 0 0, 4 0, 12 0, 12 8, 4 8))",
+        "backwards": "POLYGON((0 0, 0 8, 4 8, 12 8, 12 0, 4 0, 0 0))",
+        "notched": "POLYGON((0 0, 4 0, 4 2, 6 2, 6 0, 12 0, 12 8, 0 8, 0 0))",
+        "cut": "POLYGON((0 0, 12 0, 12 8, 4 8, 0 4, 0 0))",
+        "holed": "POLYGON((0 0, 6 0, 12 0, 12 8, 0 8, 0 0), (2 2, 4 2, 4 4, 2 2))",
+    }
+    df = spark.createDataFrame(list(texts.items()), "id string, wkt string").withColumn("geom", geo.from_text("wkt"))
+    rows = df.withColumn("raster", geo.raster("geom")).select("id", geo.boxed("raster").alias("box")).collect()
+    assert {r.id for r in rows if r.box} == {"row", "turned", "backwards"}
+    halves = df.select("id", geo.area(geo.intersection("geom", geo.box(3, 1, 9, 20))).alias("area"))
+    assert {r.id: r.area for r in halves.collect()} == {"row": 42, "turned": 42, "backwards": 42, "notched": 40, "cut": 41.5, "holed": 40.5}
+
+
+def test_used_shuffles_go(spark, tmp_path):
+    """The shuffle files of a staged table do not stay until the session ends."""
+    from pathlib import Path
+
+    from landcarbon.session import SHUFFLE_CLEANUP, cut_lineage
+
+    root = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].getPath())
+    files = lambda: set(root.rglob("shuffle_*.data"))
+    before, conf = files(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    assert cut_lineage(spark.range(20000).repartition(7, "id")).count() == 20000
+    mine = [f for f in files() - before if f.stat().st_size > 10000]
+    assert not mine and spark.conf.get(SHUFFLE_CLEANUP, None) == conf
