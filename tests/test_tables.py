@@ -288,3 +288,18 @@ def test_parts_of_an_input_are_bounded(spark, tmp_path, monkeypatch):
     df = inputs.table(spark, str(tmp_path), "t")
     assert df.select(F.spark_partition_id()).distinct().count() > spark.sparkContext.defaultParallelism
     assert df.count() == 200_000
+
+
+def test_orders_are_dealt_into_parts_that_follow_the_items(spark, monkeypatch):
+    """The sums per order and category are made in parts of a bounded number of items."""
+    from standins import inputs, queries
+
+    folder = "/root/testdata/sf0.001"
+    monkeypatch.setattr(inputs, "PART_BYTES", 4096)
+    parts = inputs.parts_of(spark.read.parquet(f"{folder}/lineitem.parquet"))
+    assert parts > 8
+    plan = queries.REGISTRY["category_difference"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "hashpartitioning(fid" in line and f", {parts})" in line]
+    # Nothing after them brings the orders together in another number of parts.
+    later = plan[: plan.index(dealt[0])]
+    assert dealt and "Exchange" not in later
