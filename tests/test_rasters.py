@@ -136,6 +136,6 @@ def test_rest(spark):
     blades = {"apart": (20, 0, 30, 9), "touching": (10, 0, 30, 9), "half": (5, -5, 30, 30), "covering": (-1, -1, 11, 11), "none": None}
     rows = [(k, *(map(float, v) if v else [None] * 4)) for k, v in blades.items()]
     df = spark.createDataFrame(rows, "id string, a double, b double, c double, d double")
-    blade = F.when(F.col("a").isNotNull(), geo.box("a", "b", "c", "d"))
+    blade = F.when(F.col("a").isNotNull(), geo.box(*map(F.col, "abcd")))
     left = df.select("id", geo.area(geo.rest(geo.box(0, 0, 10, 10), blade)).alias("area"))
     assert {r.id: r.area for r in left.collect()} == {"apart": None, "touching": 100, "half": 50, "covering": 0, "none": None}
