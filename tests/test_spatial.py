@@ -182,6 +182,17 @@ def test_small_cases_of_priority(spark):
     assert areas == {"A": 50, "B": 100, "N": 100, "C": 0}
 
 
+def test_what_is_left_of_a_polygon_has_no_vertices_where_cells_were_cut(spark):
+    geo.register(spark)
+    # Cells of 120 m, a notched square over three of them; a later one takes its right half.
+    rows = [("A", 2022, "POLYGON((100 100, 400 100, 400 400, 200 400, 200 380, 100 380, 100 100))"), ("B", 2024, "POLYGON((250 0, 500 0, 500 500, 250 500, 250 0))")]
+    df = spark.createDataFrame(rows, f"grant_id string, {FY} int, wkt string").select("grant_id", FY, geo.from_text("wkt").alias("geom"))
+    left = overlap.subtract_higher_priority(df, Grid(120.0)).filter("grant_id = 'A'")
+    row = left.select(geo.as_text(geo.normalize("geom")).alias("wkt"), geo.geometry_type("geom").alias("type")).first()
+    assert row.type == "Polygon"
+    assert row.wkt == "POLYGON ((100 100, 100 380, 200 380, 200 400, 250 400, 250 100, 100 100))"
+
+
 def test_resolved_overlaps(field):
     df = field.select(F.concat(F.lit("G"), "id").alias("grant_id"), FY, "geom")
     df = overlap.drop_covered(df, GRID)

@@ -63,6 +63,23 @@ def test_prefer_sources(spark):
     ]
 
 
+def test_prefer_sources_has_the_null_rules_of_not_in(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "k string, v int")
+    full, null = frame([("a", 1), ("b", 2)]), frame([(None, 3), ("a", 4), ("c", 5)])
+    for sources in ([full, null, frame([("d", 6), ("b", 7)])], [frame([]), null, full], [frame([]), frame([]), null]):
+        chosen = sources[0]
+        for n, source in enumerate(sources[1:], start=1):
+            listed = keys.union_all(sources[:n]).select("k")
+            chosen = chosen.union(keys.not_in(source, "k", listed))
+        assert sorted(map(repr, keys.prefer_sources(sources, "k").collect())) == sorted(map(repr, chosen.distinct().collect()))
+
+
+def test_prefer_sources_lists_the_keys_of_all_sources_in_one_join(spark):
+    sources = [spark.range(9 * n).select(F.col("id").alias("k"), F.lit(n).alias("v")) for n in range(1, 5)]
+    plan = keys.prefer_sources(sources, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+
+
 def test_lookup_rejects_several_values(spark):
     df = frame(spark, [("a",), ("b",)], "k string")
     right = frame(spark, [("a", "A"), ("c", "C"), ("c", "D")], "k2 string, v string")
