@@ -281,6 +281,34 @@ def test_decontamination(spark, docs, empty, texts, block_words):
     assert decontaminate.matches(empty, blocks).count() == 0 and decontaminate.automata(table.limit(0)).table.count() == 0
 
 
+def test_documents_are_scanned_once_for_any_number_of_blocks(spark, monkeypatch):
+    r = random.Random(3)
+    lines = [[f"w{r.randrange(400)}" for _ in range(40)] for _ in range(60)]
+    lines = [[*words[:20], *lines[k % 7][:12], *words[20:]] for k, words in enumerate(lines)]
+    items = spark.createDataFrame([(k, " ".join(words)) for k, words in enumerate(lines)], "item_id long, text string")
+    rows = [(k, " ".join(["other", *words[5:30], "Ünd", *words[31:39]])) for k, words in enumerate(lines)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    few, many = decontaminate.automata(items), decontaminate.automata(items, block_words=8)
+    written = []
+    monkeypatch.setattr(decontaminate, "staged", lambda df: written.append(df) or df)
+    found = [by_id(decontaminate.report(decontaminate.matches(docs, blocks))) for blocks in (few, many)]
+    assert len(many.groups()) > 3 and not written
+    assert found[0] == found[1] and all(row.contaminated and row.n_items > 1 for row in found[0].values())
+
+
+def test_words_of_many_texts_are_those_of_each():
+    r = random.Random(4)
+    texts = ["".join(r.choice("aZ09 .\n-éß漢") for _ in range(n)) for n in [0, 1, 30, 0, 200, 5000]] + ["x" * 3000, "..."]
+    words = decontaminate.Words.of([t.encode() for t in texts])
+    lists = [word_list(t) for t in texts]
+    assert [words.words(a, b) if a < b else [] for a, b in itertools.pairwise(words.first.tolist())] == lists
+    for n in (1, 3, 10):
+        h, at = words.windows(n)
+        named = dict(zip(at.tolist(), h.tolist()))
+        want = {int(words.first[k]) + i: tuple(w[i : i + n]) for k, w in enumerate(lists) for i in range(len(w) - n + 1)}
+        assert named.keys() == want.keys() and len({(named[i], want[i]) for i in want}) == len(set(named.values())) == len(set(want.values()))
+
+
 def test_quality_classifier(spark, empty):
     r = random.Random(2)
     rows = []
