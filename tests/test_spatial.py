@@ -460,3 +460,40 @@ def test_parts_of_an_overlay_follow_its_pieces(field, monkeypatch):
 def test_copies_are_found_without_sorting(field):
     plan = geo.distinct_shapes(geo.with_shape(field.select("geom")))._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_features_are_widened_where_they_are_put_together(spark):
+    """The dissolve of features with distances is that of their buffers, without these being shuffled."""
+    geo.register(spark)
+    shapes = [
+        "POINT (3 4)", "POINT (3 4)", "LINESTRING (0 0, 7 5)", "LINESTRING (0 0, 7 5, 9 1)", "LINESTRING (2 2, 2 2)", "POLYGON ((0 0, 5 0, 5 3, 0 3, 0 0))",
+        "POLYGON ((20 20, 20 25, 25 25, 25 20, 20 20))", "POLYGON ((40 0, 48 8, 48 0, 40 8, 40 0))", "POLYGON EMPTY", "MULTIPOINT (90 90, 95 95)",
+        "POLYGON ((70 0, 76 0, 76 6, 72 6, 72 -2, 74 -2, 74 4, 70 4, 70 0))", "POLYGON ((100 0, 120 0, 120 20, 100 20, 100 0), (105 5, 115 5, 115 15, 105 15, 105 5))",
+    ]
+    rows = [(k, f"{k % 5}", w, d) for k, (w, d) in enumerate((w, d) for w in shapes for d in (0.0, 0.5, 3.0))] + [(99, "0", None, 1.0), (98, "0", shapes[0], None)]
+    df = spark.createDataFrame(rows, "id int, k string, wkt string, d double").select("k", geo.from_text("wkt").alias("geom"), "d")
+    wide = df.select("k", F.explode(F.array(geo.buffer(geo.make_valid("geom"), F.col("d")))).alias("geom"))
+    done = dissolve(df, ["k"], Grid(120.0), "d")
+    assert "lc_buffer" not in done._jdf.queryExecution().executedPlan().toString()
+    found, want = (t.groupBy("k").agg(geo.union("geom").alias(n)) for t, n in ((done, "a"), (wide, "b")))
+    apart = found.join(want, "k").select(geo.area("a"), geo.area("b"), geo.area(geo.difference("a", "b")), geo.area(geo.difference("b", "a"))).collect()
+    assert len(apart) == 5 and all(abs(a - b) < 1e-6 and c < 1e-6 and d < 1e-6 for a, b, c, d in apart)
+
+
+def test_outlines_of_simple_shapes_are_their_buffers(spark):
+    """Of a point, a straight line and a rectangle, against the library's buffer of the same ground drawn with more vertices."""
+    geo.register(spark)
+    pairs = [("POINT (3 4)", "MULTIPOINT (3 4)"), ("LINESTRING (1 1, 9 4)", "LINESTRING (1 1, 5 2.5, 9 4)"), ("POLYGON ((0 0, 0 3, 5 3, 5 0, 0 0))", "POLYGON ((0 0, 2 0, 5 0, 5 3, 0 3, 0 0))")]
+    df = spark.createDataFrame(pairs, "a string, b string").crossJoin(spark.createDataFrame([(0.25,), (30.0,)], "d double"))
+    df = df.select(*(geo.buffer(geo.from_text(c), F.col("d")).alias(c) for c in "ab"))
+    for a, b, c in df.select(geo.area("a"), geo.area("b"), geo.area(geo.difference("a", "b"))).collect():
+        assert abs(a - b) < 1e-6 * a and c < 1e-6 * a
+
+
+def test_a_union_of_groups_apart_is_the_union(spark):
+    """Chains of boxes far from each other, in any order, with copies and holes: parts and areas are those of the whole."""
+    geo.register(spark)
+    boxes = [(x * 50 + i * 4, y * 50, x * 50 + i * 4 + 6, y * 50 + 5) for x in range(6) for y in range(5) for i in range(1 + (x + y) % 4)]
+    df = spark.createDataFrame(boxes * 2, "a int, b int, c int, d int").repartition(3, "a", "b").select(geo.box(*(F.col(c) for c in "abcd")).alias("geom"))
+    whole = geo.explode_parts(df.agg(geo.union("geom").alias("geom"))).select(geo.area("geom").alias("n")).collect()
+    assert sorted(r.n for r in whole) == sorted(5.0 * (6 + 4 * ((x + y) % 4)) for x in range(6) for y in range(5))
