@@ -497,3 +497,20 @@ def test_a_union_of_groups_apart_is_the_union(spark):
     df = spark.createDataFrame(boxes * 2, "a int, b int, c int, d int").repartition(3, "a", "b").select(geo.box(*(F.col(c) for c in "abcd")).alias("geom"))
     whole = geo.explode_parts(df.agg(geo.union("geom").alias("geom"))).select(geo.area("geom").alias("n")).collect()
     assert sorted(r.n for r in whole) == sorted(5.0 * (6 + 4 * ((x + y) % 4)) for x in range(6) for y in range(5))
+
+
+def test_fallback_footprints_follow_the_ground_of_features(spark):
+    """Sites whose features have no ground take the older footprint; no polygon is written to know them."""
+    geo.register(spark)
+    areas = [("a", "scrub removal", "POLYGON ((0 0, 9 0, 9 9, 0 9, 0 0))"), ("b", "scrub removal", "POLYGON ((0 0, 9 0, 5 0, 0 0))"), ("c", "dams", "POLYGON ((0 0, 9 0, 5 0, 0 0))")]
+    areas += [("d", "scrub removal", "POLYGON EMPTY"), ("e", "scrub removal", "LINESTRING (0 0, 9 9)"), ("f", "dams", "LINESTRING (0 0, 9 9)"), ("g", None, "POINT (1 1)"), ("h", "scrub removal", "POLYGON ((0 0, 8 8, 8 0, 0 8, 0 0))")]
+    areas += [("i", "dams", None), ("b", "scrub removal", "POINT (1 1)"), ("d", "dams", "POINT EMPTY")]
+    df = spark.createDataFrame([(s, t, w) for s, t, w in areas], "site_id string, restoration_technique string, wkt string")
+    df = df.select(F.lit("g").alias("grant_id"), "site_id", "restoration_technique", F.lit(None).cast("string").alias("notes"), geo.from_text("wkt").alias("geom"))
+    old = spark.createDataFrame([("g", s) for s in "abcdefghijj"], "grant_id string, site_id string").withColumn("geom", geo.box(0.0, 0.0, 1000.0, 1.0))
+    done = footprint.build_footprint({"restoration_areas": df}, 5.0, Grid(120.0), include=["restoration_areas"], fallback=old)
+    ground = footprint.build_footprint({"restoration_areas": df}, 5.0, Grid(120.0), include=["restoration_areas"]).select("site_id").distinct()
+    fell = [r.site_id for r in done.filter(geo.area("geom") == 1000).collect()]
+    new = {r.site_id for r in ground.collect()}
+    assert sorted(fell) == sorted(s for s in "abcdefghijj" if s not in new) and {"a", "f", "g", "h"} <= new and not {"b", "d", "e", "i"} & new
+    assert not any("stage-" in f for f in done.inputFiles())
