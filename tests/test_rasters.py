@@ -98,6 +98,15 @@ def test_rasters_of_rectangles_do_not_travel(field, monkeypatch):
     assert counted == {(True, True), (False, False)}
 
 
+def test_rectangles_are_staged_as_envelopes(field):
+    """Shapes with copies: of a rectangle neither geometry nor cells are written, and tests that need them see it all the same."""
+    rows = field.select("id", "geom").unionAll(field.select("id", "geom"))
+    shapes = staged_shapes(geo.with_shape(rows))
+    kinds = {(r.box, r.g, r.r) for r in shapes.select("box", F.col("geom").isNull().alias("g"), F.col("raster").isNull().alias("r")).collect()}
+    assert kinds <= {(True, True, True), (False, False, False), (False, False, True)} and len(kinds) > 1
+    assert {r.copies % 2 for r in shapes.select("copies").collect()} == {0}
+
+
 def test_rectangles_with_vertices_on_their_sides(spark):
     """What a union leaves of boxes in a row is a rectangle, of which no cells travel; what only has its envelope is none."""
     geo.register(spark)
