@@ -139,6 +139,42 @@ def test_used_shuffles_go(spark, tmp_path):
     assert not mine and spark.conf.get(SHUFFLE_CLEANUP, None) == conf
 
 
+def test_tables_of_a_step_go_when_it_is_settled(spark):
+    """Of nested steps only the outermost result stays; tables written before stay, and those of a step that fails."""
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from landcarbon.session import cut_lineage, settled
+
+    root = Path(urlparse(cut_lineage(spark.range(1)).inputFiles()[0]).path).parent.parent
+    stages = lambda: {p.name for p in root.iterdir() if p.name.startswith("stage-")}
+    given = cut_lineage(spark.range(10))
+    before = stages()
+
+    def inner():
+        return cut_lineage(given.selectExpr("id + 1 as id")).union(cut_lineage(given))
+
+    done = settled(lambda: settled(inner).join(cut_lineage(given), "id"))
+    assert sorted(r.id for r in done.collect()) == [0, 1, 1, 2, 2, 3, 3, 4, 4, 5, 5, 6, 6, 7, 7, 8, 8, 9, 9]
+    assert len(stages() - before) == 1 and before <= stages() and given.count() == 10
+    with pytest.raises(ZeroDivisionError):
+        settled(lambda: cut_lineage(given) and 1 / 0)
+    assert len(stages() - before) == 2 and settled(lambda: given).count() == 10
+
+
+def test_resolving_overlaps_leaves_two_tables(field):
+    from landcarbon import session
+
+    written = []
+    session._written().append(written)
+    df = field.filter("id < 60").select(F.col("id").cast("string").alias("grant_id"), F.col("year").cast("int").alias("financial_year_end"), "geom")
+    try:
+        work = overlap.resolve_overlaps(df, Grid(10.0))
+    finally:
+        session._written().pop()
+    assert work.count() > 0 and len(written) == 2
+
+
 def test_rest(spark):
     """Ground without a blade: no value where the two have no point in common, nothing of what is covered."""
     geo.register(spark)
